@@ -22,13 +22,13 @@ from tagloom.operators.questions import (
     training_corpus,
     with_type,
 )
-from tagloom.operators.ranking import top_per_group
+from tagloom.operators.ranking import top_per_group, with_global_index
 from tagloom.operators.split import train_test_split, with_part
 from tagloom.operators.users import build_users_dim
 from tagloom.plans.ingest import ingest_dimension, ingest_posts
 from tagloom.plans.tag import publish_labeled
 from tagloom.schemas import POSTS, USERS, USERS_DIM
-from tagloom.session import scratch
+from tagloom.session import scratch, shared_root
 from tagloom.sinks import (
     checkpoint_parquet,
     create_database,
@@ -80,26 +80,37 @@ def _zones(spark: SparkSession, label: str) -> Zones:
     return Zones.under(scratch(spark, label), database=f"topics_{uuid.uuid4().hex}")
 
 
-def _rule_predictions(questions: DataFrame) -> DataFrame:
+def _topic_counts(questions: DataFrame) -> DataFrame:
+    """Questions per first tag and topic. Checkpointed, as the questions are read once for all that follows."""
+    keyed = questions.select(F.get("Tags", F.lit(0)).alias("first_tag"), last_tag("Tags").alias("topic"))
+    counts = keyed.filter(F.col("topic").isNotNull()).groupBy("first_tag", "topic").agg(F.count("*").alias("n"))
+    shared_root(questions.sparkSession)
+    return counts.checkpoint()
+
+
+def _topic_index(counts: DataFrame) -> DataFrame:
+    """``topic, label_index``: topics numbered by falling frequency."""
+    totals = counts.groupBy("topic").agg(F.sum("n").alias("n"))
+    return with_global_index(totals, [F.desc("n"), F.col("topic")], "label_index").drop("n")
+
+
+def _rule_predictions(questions: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """A fixed rule in place of a model, so that SQL can check what follows from predictions.
 
     Predicts the most frequent topic among questions with the same first tag, with the
     index of that topic among all topics.
     """
-    keyed = questions.withColumns({"first_tag": F.get("Tags", F.lit(0)), "topic": last_tag("Tags")})
-    counts = keyed.filter(F.col("topic").isNotNull()).groupBy("first_tag", "topic").agg(F.count("*").alias("n"))
+    counts = _topic_counts(questions) if counts is None else counts
     rule = top_per_group(counts, "first_tag", [F.desc("n"), F.col("topic")], 1).select(
-        F.col("first_tag").alias("rule_tag"), F.col("topic").alias("decoded")
+        F.col("first_tag").alias("rule_tag"), "topic"
+    )
+    indexed_rule = rule.join(_topic_index(counts), "topic").select(
+        "rule_tag", F.col("topic").alias("decoded"), F.col("label_index").cast("double").alias("prediction")
     )
-    index = _topic_index(keyed).select(F.col("topic").alias("index_topic"), "label_index")
-    indexed_rule = join_dimension(rule, index, "decoded", "index_topic", spread_by=["rule_tag"])
-    indexed_rule = indexed_rule.select("rule_tag", "decoded", F.col("label_index").cast("double").alias("prediction"))
+    keyed = questions.withColumn("first_tag", F.get("Tags", F.lit(0)))
     spread = ["question_id", "CreationDate", "Title"]
-    return join_dimension(keyed, indexed_rule, "first_tag", "rule_tag", spread, how="left").drop("first_tag", "rule_tag")
-
-
-def _topic_index(tagged: DataFrame) -> DataFrame:
-    return features.label_index(tagged, label="topic")
+    joined = join_dimension(keyed, indexed_rule, "first_tag", "rule_tag", spread, how="left")
+    return joined.drop("first_tag", "rule_tag")
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -378,11 +389,13 @@ def _eval_topic_model(spark: SparkSession, folder: str) -> DataFrame:
 def _decode_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted indexes joined to the label index, back to names."""
     tagged = _tagged(spark, folder)
-    predicted = _rule_predictions(tagged).select("question_id", "CreationDate", "Title", "prediction")
-    labels = _topic_index(tagged).select(
+    counts = _topic_counts(tagged)
+    spread = ["question_id", "CreationDate", "Title"]
+    predicted = _rule_predictions(tagged, counts).select(*spread, "prediction")
+    labels = _topic_index(counts).select(
         F.col("label_index").cast("double").alias("index"), F.col("topic").alias("decoded")
     )
-    named = join_dimension(predicted, labels, "prediction", "index", spread_by=["question_id", "CreationDate", "Title"])
+    named = join_dimension(predicted, labels, "prediction", "index", spread)
     return named.select("question_id", F.col("prediction").cast("long").alias("prediction"), "decoded")
 
 

@@ -3,7 +3,7 @@
 from tagloom.functions.stamps import batch_stamp, current_batch, resolve_batch
 from tagloom.functions.tags import last_tag, parse_tags
 from tagloom.functions.text import clean_text, collapse_spaces, letters_only, strip_html, strip_urls
-from tagloom.functions.tokens import STOP_WORDS, drop_stop_words, is_stop_word, tokenize
+from tagloom.functions.tokens import STOP_WORDS, drop_stop_words, is_stop_word, tokenize, words
 
 __all__ = [
     "STOP_WORDS",
@@ -20,4 +20,5 @@ __all__ = [
     "strip_html",
     "strip_urls",
     "tokenize",
+    "words",
 ]

@@ -35,6 +35,11 @@ def tokenize(text: Column | str) -> Column:
     return F.when(blank, F.array().cast("array<string>")).otherwise(F.split(ended, r"\s"))
 
 
+def words(cleaned: Column | str) -> Column:
+    """``tokenize`` for text from ``clean_text``, which needs no more than a split at spaces."""
+    return F.split(F.col(cleaned) if isinstance(cleaned, str) else cleaned, " ")
+
+
 def is_stop_word(token: Column | str) -> Column:
     token = F.col(token) if isinstance(token, str) else token
     return F.lower(token).isin(*STOP_WORDS)

@@ -14,16 +14,10 @@ _SALT = "__salt"
 
 
 def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether ``dim`` has at most ``rows`` rows and ``size`` bytes of text.
-
-    Looks at one row more than allowed, so a large table costs no more than a small one.
-    """
-    measured = (
-        dim.select(F.octet_length(F.to_json(F.struct(*dim.columns))).alias("bytes"))
-        .limit(rows + 1)
-        .agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
-        .first()
-    )
+    """Whether ``dim`` has at most ``rows`` rows and ``size`` bytes of text, by one aggregation over it."""
+    measured = dim.agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length(F.to_json(F.struct(*dim.columns)))).alias("bytes")
+    ).first()
     return measured["rows"] <= rows and (measured["bytes"] or 0) <= size
 
 
