@@ -427,14 +427,16 @@ def _any_tag_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 # --- result tables -----------------------------------------------------------------
 
 
-def _predicted(spark: SparkSession, folder: str) -> DataFrame:
-    return _rule_predictions(_prepared(spark, folder))
+def _stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Prepared questions, written once and read back where several writes or both sides of a join use them."""
+    return checkpoint_parquet(_prepared(spark, folder), scratch(spark, "prepared"))
 
 
 @_query("merge_predictions")
 def _merge_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    predicted = _predicted(spark, folder).select("question_id", "Text", "prediction", "decoded")
-    merged = results.merge_predictions(predicted, _prepared(spark, folder))
+    prepared = _stored(spark, folder)
+    predicted = _rule_predictions(prepared).select("question_id", "Text", "prediction", "decoded")
+    merged = results.merge_predictions(predicted, prepared)
     return merged.withColumns({"prediction": F.col("prediction").cast("int"), "Tags": F.array_join("Tags", ",")})
 
 
@@ -442,7 +444,7 @@ def _merge_predictions(spark: SparkSession, folder: str) -> DataFrame:
 def _labeled_questions(spark: SparkSession, folder: str) -> DataFrame:
     """One batch, published twice: the table holds it once."""
     zones = _zones(spark, "labeled")
-    predicted = _predicted(spark, folder)
+    predicted = _rule_predictions(_stored(spark, folder))
     publish_labeled(predicted, zones, FIRST_BATCH)
     publish_labeled(predicted, zones, FIRST_BATCH)
     return spark.table(zones.labeled_questions).withColumn("Tags", F.array_join("Tags", ","))
@@ -451,7 +453,7 @@ def _labeled_questions(spark: SparkSession, folder: str) -> DataFrame:
 def _three_batches(spark: SparkSession, folder: str) -> DataFrame:
     """All questions, then those that were edited, then those with a good score."""
     zones = _zones(spark, "batches")
-    predicted = _predicted(spark, folder)
+    predicted = _rule_predictions(_stored(spark, folder))
     edited = predicted.filter(F.col("LastEditDate").isNotNull()).withColumn("decoded", F.lit("edited"))
     liked = predicted.filter(F.col("Score") > 3).withColumn("decoded", F.lit("liked"))
     for rows, stamp in ((predicted, FIRST_BATCH), (edited, SECOND_BATCH), (liked, THIRD_BATCH)):

@@ -19,11 +19,17 @@ def merge_predictions(predictions: DataFrame, questions: DataFrame) -> DataFrame
     The rows match on id and text, and equal predictions are merged first. So a question
     that was delivered k times gives k rows, not k times k. The text of the questions
     takes part as a digest only and is not shuffled a second time.
+
+    Predictions without a question are kept, as by a left join. They are added apart, as
+    Spark can split the many copies of one question over tasks in an inner join only.
     """
+    keys = ["question_id", "__text"]
     digest = F.sha2("Text", 256)
-    unique = predictions.withColumn("__text", digest).dropDuplicates(["question_id", "__text", "prediction", "decoded"])
+    unique = predictions.withColumn("__text", digest).dropDuplicates([*keys, "prediction", "decoded"])
     details = questions.withColumn("__text", digest).drop("Text")
-    return unique.join(details, ["question_id", "__text"], "left").drop("__text")
+    matched = unique.join(details, keys)
+    unmatched = unique.join(details.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True).drop("__text")
 
 
 def labeled_questions(tagged: DataFrame, batch: datetime | str | None = None) -> DataFrame:

@@ -6,9 +6,8 @@ import math
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tagloom.sources.files import source_manifest
+from tagloom.sources.files import folder_bytes
 
 TARGET_FILE_BYTES = 256 << 20
 CSV_ROWS_PER_FILE = 1_000_000
@@ -43,8 +42,7 @@ def compact_copy(df: DataFrame, source: str, target: str, file_bytes: int = TARG
     The number follows from the size of the source. ``coalesce`` joins the small input
     splits in place, so the copy has no shuffle; the target is replaced.
     """
-    size = source_manifest(df.sparkSession, source, "*.parquet").agg(F.sum("size_bytes")).first()[0] or 0
-    files = max(1, math.ceil(size / file_bytes))
+    files = max(1, math.ceil(folder_bytes(df.sparkSession, source) / file_bytes))
     df.coalesce(files).write.mode("overwrite").option("compression", "snappy").parquet(target)
     return files
 

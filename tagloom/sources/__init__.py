@@ -2,6 +2,7 @@
 
 from tagloom.sources.database import JdbcTable, read_table
 from tagloom.sources.files import (
+    folder_bytes,
     folder_exists,
     folder_listing,
     read_csv,
@@ -13,6 +14,7 @@ from tagloom.sources.files import (
 
 __all__ = [
     "JdbcTable",
+    "folder_bytes",
     "folder_exists",
     "folder_listing",
     "read_csv",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -77,11 +76,19 @@ def folder_listing(manifest: DataFrame) -> DataFrame:
     )
 
 
+def _file_system(spark: SparkSession, folder: str):
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+
+
 def folder_exists(spark: SparkSession, folder: str) -> bool:
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """One metadata call; nothing below the folder is listed."""
+    system, path = _file_system(spark, folder)
+    return system.exists(path)
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below ``folder``, from the file system; starts no job."""
+    system, path = _file_system(spark, folder)
+    return system.getContentSummary(path).getLength()
