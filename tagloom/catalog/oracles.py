@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from tagloom.catalog import views
 from tagloom.functions.tokens import STOP_WORDS
-from tagloom.schemas import POSTS, USERS
+from tagloom.schemas import LABELED_QUESTIONS, POSTS, USERS
 
 _TABLES = {name: name for name in ("documents", "labels", "customer", "nation", "pages")}
 
@@ -39,7 +39,9 @@ _STEPS = {
         FROM posts p JOIN posttypes t ON p.PostTypeId = t.Id
         WHERE t.Type = 'Question'""",
     "prepared": f"SELECT * EXCLUDE (Body), {_clean('Body')} AS Text FROM questions WHERE Body IS NOT NULL",
-    "tag_rows": "SELECT question_id, Title AS Text, unnest(tag_list) AS tag FROM questions",
+    "tag_rows": """
+        SELECT question_id, regexp_replace(Body, '<.*?>', '', 'g') AS Text, unnest(tag_list) AS tag
+        FROM questions""",
     "tagged": "SELECT *, tag_list[-1] AS topic, CreationDate AS day FROM questions WHERE tag_list[-1] IS NOT NULL",
     "corpus": "SELECT * FROM (SELECT question_id, Text, unnest(tag_list) AS tag FROM prepared) WHERE tag <> ''",
     "tokens": """
@@ -92,6 +94,13 @@ def _predicted(select: str) -> str:
     return _with(select, *_PREPARED, **_PREPARED_RULE)
 
 
+_QUESTION_COLUMNS = [
+    field
+    for field in LABELED_QUESTIONS
+    if field.name not in ("Text", "prediction", "decoded", "Tags", "CreationDate", "LastEditDate", "batch_datetime_stamp")
+] + [POSTS["Body"]]
+
+
 def _describe(view: str, schema) -> str:
     parts = []
     for field in schema:
@@ -199,6 +208,12 @@ def oracle_sql() -> dict[str, str]:
         "null_counts": _with(_null_counts(), "posts"),
         "describe_posts": _with(_describe("posts", POSTS), "posts"),
         "describe_users": _with(_describe("users", USERS), "users"),
+        "describe_questions": _with(
+            _describe("questions", _QUESTION_COLUMNS), *_QUESTIONS
+        ),
+        "preview_questions": _with(
+            "SELECT question_id, Title, Score, ViewCount FROM questions ORDER BY question_id LIMIT 20", *_QUESTIONS
+        ),
         "distinct_tags": _with(
             "SELECT count(*) AS rows, count(DISTINCT tag) AS distinct_tag, "
             "count(DISTINCT question_id) AS distinct_question_id FROM tag_rows",
@@ -259,6 +274,11 @@ def oracle_sql() -> dict[str, str]:
             "corpus",
             "corpus_terms",
         ),
+        "hashing_tf_totals": _with(
+            f"SELECT question_id, count(*) AS tokens FROM tokens WHERE token NOT IN ({_STOP}) GROUP BY question_id",
+            *_PREPARED,
+            "tokens",
+        ),
         "label_index": _with(
             "SELECT tag, n, row_number() OVER (ORDER BY n DESC, tag) - 1 AS label_index "
             "FROM (SELECT tag, count(*) AS n FROM tag_rows GROUP BY tag)",

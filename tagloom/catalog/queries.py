@@ -235,9 +235,22 @@ def _describe_users(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(profile.describe(views.users(spark, folder)), "mean", "stddev")
 
 
+@_query("describe_questions")
+def _describe_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """The array of tags is left out."""
+    return _rounded(profile.describe(_questions(spark, folder)), "mean", "stddev")
+
+
+@_query("preview_questions")
+def _preview_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows by id, for a look at the data."""
+    shown = _questions(spark, folder).select("question_id", "Title", "Score", "ViewCount")
+    return shown.orderBy("question_id").limit(20)
+
+
 @_query("distinct_tags")
 def _distinct_tags(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.distinct_counts(text_and_tags(_questions(spark, folder), "Title"), ["tag", "question_id"])
+    return profile.distinct_counts(text_and_tags(_questions(spark, folder), "Body"), ["tag", "question_id"])
 
 
 # --- posts, questions, text --------------------------------------------------------
@@ -300,7 +313,8 @@ def _model_input_url_first(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("text_and_tags")
 def _tag_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return text_and_tags(_questions(spark, folder), "Title")
+    stripped = _questions(spark, folder).withColumn("Text", strip_html("Body"))
+    return text_and_tags(stripped)
 
 
 @_query("training_corpus")
@@ -340,9 +354,16 @@ def _hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
     return features.hashing_tf(_prepared(spark, folder))
 
 
+@_query("hashing_tf_totals")
+def _hashing_tf_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashed frequencies add up to the tokens of each question, whatever the buckets are."""
+    hashed = features.hashing_tf(_prepared(spark, folder))
+    return hashed.groupBy("question_id").agg(F.sum("frequency").cast("long").alias("tokens"))
+
+
 @_query("label_index")
 def _label_index(spark: SparkSession, folder: str) -> DataFrame:
-    return features.label_index(text_and_tags(_questions(spark, folder), "Title"))
+    return features.label_index(text_and_tags(_questions(spark, folder), "Body"))
 
 
 @_query("train_test_split")

@@ -49,10 +49,11 @@ def test_copies_of_one_question_are_split(shuffled_joins, questions):
     assert "skewed" in plan(checked)
 
 
-def test_a_question_in_many_batches_is_split(shuffled_joins, spark, questions):
-    labeled = questions.select("question_id", "Title", F.make_timestamp(F.lit(2023), F.lit(1), F.lit(1), F.lit(2), F.lit(0), F.lit(0)).alias(results.BATCH))
-    state = results.as_of(labeled, "2023-01-02 00:00:00")
-    counted = state.agg(F.count("Title").alias("n"), F.max("Title"))
+def test_copies_of_one_question_in_the_latest_batch_are_split(shuffled_joins, questions):
+    hour = F.when(F.col("question_id") == -1, 3).otherwise(F.abs("question_id") % 2)
+    stamp = F.make_timestamp(F.lit(2023), F.lit(1), F.lit(1), hour, F.lit(0), F.lit(0))
+    labeled = questions.select("question_id", "Title", stamp.alias(results.BATCH))
+    counted = results.as_of(labeled, "2023-01-02 00:00:00").agg(F.count("Title").alias("n"), F.max("Title"))
     assert counted.collect()[0].n == ROWS
     assert "skewed" in plan(counted)
 
