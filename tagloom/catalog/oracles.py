@@ -290,6 +290,26 @@ def oracle_sql() -> dict[str, str]:
             "THEN 'train' ELSE 'test' END AS part FROM questions",
             *_QUESTIONS,
         ),
+        "train_topic_model": _with(
+            "SELECT (SELECT count(*) FROM parts WHERE NOT learned) AS held_out, count(DISTINCT tag) AS classes, "
+            f"(SELECT least(65536, count(DISTINCT term)) FROM learned_terms WHERE term NOT IN ({_STOP})) AS vocabulary "
+            "FROM learned",
+            *_PREPARED,
+            parts="SELECT *, ('0x' || substr(md5(CAST(question_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 90 AS learned "
+            "FROM prepared",
+            learned="SELECT * FROM (SELECT Text, unnest(tag_list) AS tag FROM parts WHERE learned) WHERE tag <> ''",
+            learned_terms="SELECT unnest(string_split(Text, ' ')) AS term FROM learned",
+        ),
+        "stored_label_index": _with(
+            "SELECT tag, row_number() OVER (ORDER BY n DESC, tag) - 1 AS label_index "
+            "FROM (SELECT tag, count(*) AS n FROM tag_rows GROUP BY tag)",
+            *_QUESTIONS,
+            "tag_rows",
+        ),
+        "infer_coverage": _with(
+            "SELECT count(*) AS rows, count(DISTINCT question_id) AS questions, count(*) AS known_tags FROM prepared",
+            *_PREPARED,
+        ),
         "decode_labels": _with(
             "SELECT question_id, CAST(prediction AS BIGINT) AS prediction, decoded FROM judged "
             "WHERE prediction IS NOT NULL",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -388,10 +389,23 @@ def _fitted(spark: SparkSession, folder: str):
 
 @_query("train_topic_model")
 def _train_topic_model(spark: SparkSession, folder: str) -> DataFrame:
-    """The size of a fitted model, beside the tags of the questions it learned from."""
+    """The size of a fitted model, beside the number of questions held out from it."""
     fitted, _, _, held_out = _fitted(spark, folder)
-    summary = [F.lit(value).cast("long").alias(name) for name, value in topic_model.model_summary(fitted).items()]
-    return held_out.agg(F.count("*").alias("held_out")).select("held_out", *summary)
+    summary = topic_model.model_summary(fitted)
+    sizes = [F.lit(summary[name]).cast("long").alias(name) for name in ("classes", "vocabulary")]
+    return held_out.agg(F.count("*").alias("held_out")).select("held_out", *sizes)
+
+
+@_query("stored_label_index")
+def _stored_label_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The label stage alone: fitted, saved, and its labels as read from the stored files."""
+    path = scratch(spark, "labels")
+    rows = text_and_tags(_questions(spark, folder), "Body").select("tag")
+    StringIndexer(inputCol="tag", outputCol="label").fit(rows).write().overwrite().save(path)
+    stored = read_parquet(spark, f"{path}/data")
+    return stored.select(F.posexplode(F.get("labelsArray", F.lit(0))).alias("label_index", "tag")).select(
+        F.col("label_index").cast("long").alias("label_index"), "tag"
+    )
 
 
 @_query("infer_topics")
@@ -400,6 +414,18 @@ def _infer_topics(spark: SparkSession, folder: str) -> DataFrame:
     return topic_model.predict_topics(ml_input(_prepared(spark, folder)), model, labels)
 
 
+@_query("infer_coverage")
+def _infer_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Every question is tagged once, and with a tag that training has seen."""
+    _, model, labels, _ = _fitted(spark, folder)
+    tagged = topic_model.predict_topics(ml_input(_prepared(spark, folder)), model, labels)
+    return tagged.agg(
+        F.count("*").alias("rows"),
+        F.countDistinct("question_id").alias("questions"),
+        F.count_if(F.col("decoded").isin(labels)).alias("known_tags"),
+    )
+
+
 @_query("eval_topic_model")
 def _eval_topic_model(spark: SparkSession, folder: str) -> DataFrame:
     _, model, labels, held_out = _fitted(spark, folder)

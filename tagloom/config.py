@@ -64,4 +64,4 @@ class TrainingSettings:
 
     vectorizer: str = "count"
     aggregation_depth: int = 2
-    coefficient_limit_bytes: int = 8 << 30
+    coefficient_limit_bytes: int = 2 << 30
