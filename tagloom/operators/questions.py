@@ -23,7 +23,8 @@ def with_type(posts: DataFrame, post_types: DataFrame) -> DataFrame:
     """
     posts = posts.withColumnRenamed("id", "question_id")
     types = post_types.withColumnRenamed("Id", "__type_id")
-    return join_dimension(posts, types, "PostTypeId", "__type_id", spread_by=_SPREAD).drop("__type_id")
+    spread = [name for name in _SPREAD if name in posts.columns]
+    return join_dimension(posts, types, "PostTypeId", "__type_id", spread).drop("__type_id")
 
 
 def question_posts(posts: DataFrame, post_types: DataFrame) -> DataFrame:

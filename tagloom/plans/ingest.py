@@ -14,15 +14,17 @@ from tagloom.sinks.files import compact_copy, full_refresh, write_quoted_csv
 from tagloom.sources.files import folder_exists, read_csv
 
 
-def ingest_posts(spark: SparkSession, zones: Zones, source: str, load: str) -> int:
+def ingest_posts(spark: SparkSession, zones: Zones, source: str, load: str, merge_schema: bool = False) -> int:
     """Copy a source folder, at any depth and in any close types, into one landed load.
 
     Each load has its own folder: a failed or repeated copy touches no other load, and
-    readers of the previous one are not disturbed. Returns the number of files.
+    readers of the previous one are not disturbed. ``merge_schema`` is for a source whose
+    files differ in their columns. Returns the number of files.
     """
     if not folder_exists(spark, source):
         raise FileNotFoundError(source)
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(source)
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    found = reader.option("mergeSchema", merge_schema).parquet(source)
     return compact_copy(conform(found, POSTS, lost=None), source, f"{zones.posts}/load={load}")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tagloom.operators.conform import enforce_schema
+from tagloom.sinks.files import full_refresh
 from tagloom.sources.files import folder_exists
 
 
@@ -65,5 +66,20 @@ def publish_batch(
 
 
 def overwrite_table(df: DataFrame, table: str, schema: StructType, location: str, format: str = "parquet") -> None:
-    """Replace all rows of the external table ``table``."""
-    enforce_schema(df, schema).write.format(format).mode("overwrite").option("path", location).saveAsTable(table)
+    """Replace all rows of the external table ``table``.
+
+    The new rows are complete in a staging folder before the old ones are touched, so a
+    job that fails on its input leaves the table as it was.
+    """
+    spark = df.sparkSession
+    rows = enforce_schema(df, schema)
+    if format == "delta":
+        rows.write.format(format).mode("overwrite").save(location)
+    else:
+        full_refresh(
+            rows,
+            location,
+            write=lambda part, path, mode: part.write.format(format).mode(mode).save(path),
+            read=lambda path: spark.read.format(format).schema(schema).load(path),
+        )
+    spark.catalog.refreshTable(table)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +69,14 @@ def test_top_per_group_cuts_before_the_shuffle(spark):
 def test_scratch_paths_lie_in_the_shared_folder_and_differ(spark):
     first, second = scratch(spark, "x"), scratch(spark, "x")
     assert first != second and first.startswith(shared_root(spark))
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    context = SimpleNamespace(
+        master="spark://host:7077",
+        getConf=lambda: SimpleNamespace(get=lambda key: None),
+        getCheckpointDir=lambda: None,
+    )
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(session)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan
 from tagloom.catalog import views
 from tagloom.config import TrainingSettings, Zones
 from tagloom.operators import results, topic_model
 from tagloom.operators.questions import prepare_questions
 from tagloom.plans import ingest_dimension, ingest_posts, publish_users, tag_load, train
+from tagloom.plans.tag import tag_posts
 from tagloom.schemas import POST_TYPES, USERS
 from tagloom.sources import read_csv, read_landed_posts
 
@@ -64,6 +66,21 @@ def test_tagging_is_repeatable(spark, small, lake, metrics):
     assert first.count() == history["2023-10-22 02:00:00"]
 
 
+def test_tagging_is_one_stage(spark, lake, metrics):
+    physical = plan(tag_posts(read_landed_posts(spark, lake.posts, LOADS[0]), lake))
+    assert "Exchange hashpartitioning" not in physical and "SortMergeJoin" not in physical
+    assert physical.count("FileScan parquet") == 1
+
+
+def test_files_of_different_columns_land_together(spark, tmp_path):
+    zones = Zones.under(str(tmp_path / "lake"))
+    spark.range(2).select(F.col("id").cast("int").alias("id")).write.parquet(str(tmp_path / "s" / "1"))
+    spark.range(3).select(F.col("id").cast("int").alias("id"), F.lit("t").alias("Title")).write.parquet(str(tmp_path / "s" / "2"))
+    ingest_posts(spark, zones, str(tmp_path / "s"), "x", merge_schema=True)
+    landed = read_landed_posts(spark, zones.posts, "x")
+    assert landed.agg(F.count("id"), F.count("Title"), F.count("Body")).first()[:] == (5, 3, 0)
+
+
 def test_users_are_published(spark, small, lake):
     for _ in range(2):
         publish_users(spark, lake, "2023_10_22_02")

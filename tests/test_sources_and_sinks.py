@@ -201,7 +201,12 @@ def test_a_new_table_sees_the_files_of_its_folder(spark, table):
 
 def test_overwritten_tables_hold_the_last_rows(spark, tmp_path, table):
     name, location = f"{table[0]}_dim", str(tmp_path / "dim")
-    create_external_table(spark, name, spark.range(0).schema, location)
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    create_external_table(spark, name, schema, location)
     for rows in (5, 2):
-        overwrite_table(spark.range(rows), name, spark.range(0).schema, location)
+        overwrite_table(spark.range(rows), name, schema, location)
     assert spark.table(name).count() == 2 and spark.read.parquet(location).count() == 2
+    broken = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(broken, name, schema, location)
+    assert spark.table(name).count() == 2
