@@ -49,8 +49,10 @@ def as_of(labeled: DataFrame, moment: datetime | str) -> DataFrame:
     """The state at ``moment``: for each question the rows of its latest batch up to then.
 
     Later batches are not read. The latest batch per question is a partial aggregation
-    on two narrow columns; joining it back splits over tasks where an id is hot.
+    on two narrow columns; the join back is on id and batch, so its exchange is not that
+    of the aggregation and can be split where an id is hot.
     """
     seen = labeled.filter(F.col(BATCH) <= F.lit(moment).cast("timestamp"))
-    latest = seen.groupBy("question_id").agg(F.max(BATCH).alias(BATCH))
-    return seen.join(latest, ["question_id", BATCH]).select(*labeled.columns)
+    latest = seen.groupBy(F.col("question_id").alias("__id")).agg(F.max(BATCH).alias("__latest"))
+    newest = F.col("question_id").eqNullSafe(F.col("__id")) & (F.col(BATCH) == F.col("__latest"))
+    return seen.join(latest, newest).select(*labeled.columns)

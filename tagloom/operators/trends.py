@@ -23,14 +23,21 @@ def topic_daily(tagged: DataFrame) -> DataFrame:
 def topic_trend(daily: DataFrame) -> DataFrame:
     """Per day and topic: count, share of the day and change against the day before.
 
-    A topic that the day before did not have counts as zero there.
+    A topic that the day before did not have counts as zero there. The total of a day is
+    joined, so its topics need not meet in one task; the window holds the days of a topic.
     """
     by_topic = Window.partitionBy("topic").orderBy("day")
     follows = F.lag("day").over(by_topic) == F.date_sub("day", 1)
     before = F.coalesce(F.when(follows, F.lag("n").over(by_topic)), F.lit(0))
-    whole_day = F.sum("n").over(Window.partitionBy("day"))
-    return daily.withColumns({"previous_n": before, "share": F.col("n") / whole_day}).withColumn(
-        "change", F.col("n") - F.col("previous_n")
+    totals = daily.groupBy(F.col("day").alias("__day")).agg(F.sum("n").alias("__total"))
+    compared = daily.withColumn("previous_n", before)
+    return compared.join(totals, F.col("day").eqNullSafe(F.col("__day"))).select(
+        "day",
+        "topic",
+        "n",
+        "previous_n",
+        (F.col("n") / F.col("__total")).alias("share"),
+        (F.col("n") - F.col("previous_n")).alias("change"),
     )
 
 

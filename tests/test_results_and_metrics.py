@@ -105,7 +105,7 @@ def test_labeled_rows_have_the_table_schema(posts, types):
 
 
 def test_as_of_gives_the_latest_batch_of_each_question(spark):
-    rows = [(1, "a", 1), (2, "a", 1), (1, "b", 2), (1, "b", 2), (3, "c", 3), (2, "c", 3)]
+    rows = [(1, "a", 1), (2, "a", 1), (1, "b", 2), (1, "b", 2), (3, "c", 3), (2, "c", 3), (None, "d", 4)]
     labeled = spark.createDataFrame(rows, "question_id int, decoded string, h int").select(
         "question_id", "decoded", F.make_timestamp(F.lit(2023), F.lit(1), F.lit(1), "h", F.lit(0), F.lit(0)).alias(results.BATCH)
     )
@@ -115,7 +115,8 @@ def test_as_of_gives_the_latest_batch_of_each_question(spark):
     assert state("2023-01-01 02:30:00") == [(1, "b"), (1, "b"), (2, "a")]
     assert state("2023-01-01 03:00:00") == [(1, "b"), (1, "b"), (2, "c"), (3, "c")]
     history = [(r["rows"], r.questions) for r in results.batch_history(labeled).orderBy(results.BATCH).collect()]
-    assert history == [(2, 2), (2, 1), (2, 2)]
+    assert history == [(2, 2), (2, 1), (2, 2), (1, 0)]
+    assert "d" in {r.decoded for r in results.as_of(labeled, "2023-01-01 05:00:00").collect()}
 
 
 def test_users_dim(spark):
@@ -205,6 +206,14 @@ def test_trend_compares_with_the_day_before_only(daily):
     assert trend == {("1", "a"): (0, 3, 0.75), ("1", "b"): (0, 1, 0.25), ("2", "a"): (3, 2, 1.0), ("4", "a"): (0, 2, 1.0)}
 
 
+def test_trend_keeps_questions_without_a_day(spark):
+    undated = spark.createDataFrame([(None, "a", 2), (None, "b", 2)], "day date, topic string, n long")
+    assert sorted((r.topic, r.share, r.previous_n) for r in trends.topic_trend(undated).collect()) == [
+        ("a", 0.5, 0),
+        ("b", 0.5, 0),
+    ]
+
+
 def test_top_topics_break_ties_by_name(spark, daily):
     tied = daily.union(spark.createDataFrame([("c", 3)], "topic string, n long").select(F.to_date(F.lit("2023-01-01")), "topic", "n"))
     first = trends.top_topics_daily(tied, 2).filter("day = '2023-01-01'").orderBy("rank").collect()
