@@ -107,9 +107,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_sha
     """
     items = staged(benchmark.select(F.col(item_id).alias("item_id"), row_key(text).alias("item_key"), text_of(text).alias("text")).distinct(), "items")
     item_windows = staged(_windowed(items, n, "item_id", "item_key"), "item-windows")
-    known = staged(item_windows.groupBy("h").agg(F.count(F.lit(1)).alias("items")), "window-hashes")
+    known = staged(item_windows.groupBy("h").agg(F.count(F.lit(1)).alias("items")), "window-hashes", item_windows.count())
     rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(text).alias("key"), text_of(text).alias("text"))
     found = staged(_windowed(rows, n, "doc_id", "key").join(small(known.select("h"), known.count()), "h").distinct(), "found-windows")
+    rows_found = found.count()
     # The windows of one alignment of a document with an item.
     aligned = (
         found.join(small(item_windows.withColumnRenamed("pos", "item_pos"), item_windows.count()), "h")
@@ -124,22 +125,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_sha
     described = staged(
         sizes.join(slotted.withColumnRenamed("item_id", "i").withColumnRenamed("item_key", "ik"), F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik")))
         .select("i", "ik", "windows", "slots"),
-        "described-items",
+        "described-items", item_windows.count(),
     )
     same_item = F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik"))
     # A document can hold an item only if its alignments together reach the share.
-    alignments = staged(aligned.join(small(described, described.count(), BROADCAST_ROWS // 10), same_item).drop("i", "ik"), "alignments")
+    alignments = staged(aligned.join(small(described, described.count(), BROADCAST_ROWS // 10), same_item).drop("i", "ik"), "alignments", rows_found)
     document = ("doc_id", "key", "item_id", "item_key")
     enough = F.size(F.array_distinct(F.flatten(F.collect_list("at")))) >= F.col("windows") * least_share
     candidates = staged(
         alignments.groupBy(*document, "windows").agg(enough.alias("enough"), F.max(F.size("slots") > 0).alias("slotted"))
         .filter("enough").select(*[F.col(c).alias(f"c_{c}") for c in document], "slotted"),
-        "candidates",
+        "candidates", rows_found,
     )
     chosen = staged(
         alignments.join(candidates, F.col("doc_id").eqNullSafe(F.col("c_doc_id")) & (F.col("key") == F.col("c_key")) & F.col("item_id").eqNullSafe(F.col("c_item_id")) & (F.col("item_key") == F.col("c_item_key")))
         .select(*document, "shift", "at", "windows", "slots"),
-        "chosen",
+        "chosen", rows_found,
     )
     plain = chosen.filter(F.size("slots") == 0).select(*document, "at", "windows", F.lit(False).alias("changed"))
     checked = _consistent(rows, chosen.filter(F.size("slots") > 0), n).select(*document, "at", "windows", "changed")

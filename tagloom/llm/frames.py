@@ -43,10 +43,19 @@ def ship(spark: SparkSession) -> None:
 #: A frame of at most so many narrow rows (two longs) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 500_000
 
+#: Narrow rows that a stored file holds, where their number is known.
+ROWS_PER_FILE = 250_000
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
+
+def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, safe from lost executors.
+
+    With ``rows``, a bound of the narrow rows that are to be written, it makes no more files
+    than these need, however many partitions they come from.
+    """
     path = scratch(df.sparkSession, label)
+    if rows is not None:
+        df = df.coalesce(1 + rows // ROWS_PER_FILE)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -81,14 +90,15 @@ def keep_one(docs: DataFrame, members: DataFrame, largest: bool, doc_id: str = "
     rank = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id"), F.col("key")) if largest else F.struct(
         F.col("doc_id").isNull().alias("known"), F.col("doc_id"), F.col("key")
     )
-    pairs = staged(members.groupBy("group", "doc_id", "key").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    total = members.count()
+    pairs = staged(members.groupBy("group", "doc_id", "key").agg(F.count(F.lit(1)).alias("n")), "pairs", total)
     first = pairs.groupBy("group").agg((F.max if largest else F.min)(rank).alias("first"), F.count(F.lit(1)).alias("pairs"))
-    crowded = staged(first.filter("pairs > 1").select(F.col("group").alias("g"), "first"), "winners")
-    losers = pairs.join(crowded, pairs["group"].eqNullSafe(crowded["g"])).filter(
+    crowded = staged(first.filter("pairs > 1").select(F.col("group").alias("g"), "first"), "winners", total)
+    losers = pairs.join(crowded, pairs["group"] == crowded["g"]).filter(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")))
     ).select(F.col("doc_id").alias("_out_id"), F.col("key").alias("_out_key"), F.lit(False).alias("_once"))
     repeated = pairs.filter("n > 1").select(F.col("doc_id").alias("_out_id"), F.col("key").alias("_out_key"), F.lit(True).alias("_once"))
-    out = staged(losers.union(repeated).groupBy("_out_id", "_out_key").agg(F.min("_once").alias("_once")), "dropped")
+    out = staged(losers.union(repeated).groupBy("_out_id", "_out_key").agg(F.min("_once").alias("_once")), "dropped", total)
     rows, again = out.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("_once").cast("long")), F.lit(0))).first()
     if not rows:
         return docs

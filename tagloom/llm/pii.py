@@ -128,7 +128,8 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_
         _in_patterns(occurrences).groupBy("side", "word", F.col("s.kind").alias("is"), F.col("s.value").alias("value")).agg(F.count(F.lit(1)).alias("n")),
         "pattern-instances",
     )
-    totals = staged(edges.groupBy("side", "word").agg(F.sum("n").alias("total")), "pattern-totals")
+    rows = edges.count()
+    totals = staged(edges.groupBy("side", "word").agg(F.sum("n").alias("total")), "pattern-totals", rows)
     seeds = edges.filter(F.col("is") != "").select("side", "word", F.col("is").alias("kind"), "value", "n", F.lit(1.0).alias("s"))
     loose = edges.filter(F.col("is") == "").select("side", "word", "value", "n")
     found_in = seeds
@@ -137,13 +138,13 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_
         scored = staged(
             explained.filter(F.col("support") >= least_support).join(totals, ["side", "word"])
             .select("side", "word", "kind", (F.col("explained") / F.col("total")).alias("score")),
-            f"patterns-{i}",
+            f"patterns-{i}", rows,
         )
         if i + 1 < rounds:
             # Unseen instances take the score of their best pattern.
             instances = staged(
                 loose.join(scored, ["side", "word"]).groupBy("value", "kind").agg(F.max("score").alias("s")).filter(F.col("s") >= least_score),
-                f"instances-{i}",
+                f"instances-{i}", rows,
             )
             found_in = seeds.unionByName(loose.join(instances, "value").select("side", "word", "kind", "value", "n", "s"))
     return scored.filter(F.col("score") >= least_score)

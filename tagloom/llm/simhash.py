@@ -78,8 +78,8 @@ def _apart(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def links(fps: DataFrame, distance: int = 2, blocks: int = 5, paired: int = PAIRED) -> DataFrame:
-    """``u, v``: fingerprints of ``fps`` (distinct ``fp``) such that all within ``distance`` bits are connected.
+def links(fps: DataFrame, distance: int = 2, blocks: int = 5, paired: int = PAIRED, rows: int | None = None) -> DataFrame:
+    """``u, v``: fingerprints of ``fps`` (distinct ``fp``, ``rows`` of them if known) such that all within ``distance`` bits are connected.
 
     Pairs from ordinary keys are all there; fingerprints that meet at a value are each linked
     to the smallest one there, from which each is at most ``distance`` bits away.
@@ -89,13 +89,14 @@ def links(fps: DataFrame, distance: int = 2, blocks: int = 5, paired: int = PAIR
     if not distance:
         return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).filter("false")
     masks = block_masks(distance, blocks)
+    rows = rows if rows is None else rows * len(masks)
     keyed = staged(
         fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)])).alias("k"))
         .select("fp", "k.choice", "k.bits"),
-        "blocks",
+        "blocks", rows,
     )
-    sizes = staged(keyed.groupBy("choice", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "block-sizes")
-    shared = staged(keyed.join(sizes, ["choice", "bits"]), "shared-blocks")
+    sizes = staged(keyed.groupBy("choice", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "block-sizes", rows)
+    shared = staged(keyed.join(sizes, ["choice", "bits"]), "shared-blocks", rows)
     ordinary = shared.filter(F.col("n") <= paired)
     left, right = (ordinary.select("choice", "bits", F.col("fp").alias(side)) for side in ("u", "v"))
     pairs = left.join(right, ["choice", "bits"]).filter((F.col("u") < F.col("v")) & (_apart("u", "v") <= distance)).select("u", "v")
@@ -114,13 +115,14 @@ def links(fps: DataFrame, distance: int = 2, blocks: int = 5, paired: int = PAIR
 
 def group(prints: DataFrame, distance: int = 2, blocks: int = 5, paired: int = PAIRED) -> DataFrame:
     """Each stored row of ``fingerprints`` with ``component_id``, the smallest id that its links reach."""
-    fps = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps")
-    roots = staged(components(links(fps, distance, blocks, paired)), "roots")
+    fps = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps", prints.count())
+    rows = fps.count()
+    roots = components(links(fps, distance, blocks, paired, rows), rows)
     rooted = staged(
-        fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted"
+        fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted", rows
     )
-    named = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r"), "named")
-    placed = staged(rooted.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "root", "component_id"), "placed")
+    named = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r"), "named", rows)
+    placed = staged(rooted.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "root", "component_id"), "placed", rows)
     return prints.join(placed, F.col("fp") == F.col("f")).drop("f")
 
 

@@ -1,0 +1,209 @@
+"""Exact dedup, SimHash groups and repeated passages against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tagloom.llm import components, exact_dedup, simhash, suffix_dedup
+from tagloom.llm.frames import keep_one, row_key
+from tagloom.session import scratch
+
+from conftest import plan
+
+
+def sha(text):
+    return hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def classes(pairs, nodes):
+    """The smallest member of each node's component."""
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_exact_dedup_equals_grouping(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = docs.collect()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[sha(r.text)].append(r.doc_id)
+    got = {r.doc_id: r for r in exact_dedup.deduplicate(docs).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        g = groups[sha(r.text)]
+        d = got[r.doc_id]
+        assert (d.keep_id, d.group_size, d.kept, d.text_sha256) == (max(g), len(g), r.doc_id == max(g), sha(r.text))
+
+
+def test_exact_dedup_of_odd_rows(odd, nothing):
+    got = exact_dedup.deduplicate(odd).collect()
+    assert len(got) == odd.count()
+    by_text = {r.text_sha256: r for r in got}
+    assert by_text[sha("")].keep_id == 2 and by_text[sha("")].group_size == 2
+    assert by_text[sha("same text here for all of these")].group_size == 3
+    assert all(r.keep_id is None and r.kept for r in got if r.doc_id is None)
+    kept = exact_dedup.drop_duplicates(odd)
+    assert kept.columns == odd.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([None, 2, 3, 4, 6, 7, 8, 9])
+    assert exact_dedup.deduplicate(nothing).count() == 0
+    assert exact_dedup.drop_duplicates(nothing).count() == 0
+
+
+def test_the_index_outlives_a_load_and_takes_only_what_is_new(spark, make):
+    place = scratch(spark, "test-index")
+    first = exact_dedup.DigestIndex.open(spark, place, 4)
+    exact_dedup.deduplicate(make([(1, "a"), (2, "b")]), first, "monday").collect()
+    first.close()
+    again = exact_dedup.DigestIndex.open(spark, place, 4)
+    got = {r.doc_id: r for r in exact_dedup.deduplicate(make([(8, "b"), (9, "c")]), again, "tuesday").collect()}
+    assert (got[8].keep_id, got[8].kept) == (2, False) and got[9].kept
+    assert again.read().count() == 3
+    assert [r.doc_id for r in exact_dedup.drop_duplicates(make([(20, "c"), (21, "d")]), again, "wednesday").collect()] == [21]
+    exact_dedup.deduplicate(make([(20, "c"), (21, "d")]), again, "wednesday").collect()
+    assert again.read().count() == 4
+    again.close()
+
+
+def test_the_index_join_shuffles_no_index(spark, make):
+    index = exact_dedup.DigestIndex.open(spark, scratch(spark, "test-index"), 4)
+    new = exact_dedup.digests(make([(1, "a")])).repartition(4, "digest").hint("merge").join(index.read(), "digest", "left_anti")
+    text = plan(new)
+    assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 1
+    assert "Python" not in text and "ArrowEval" not in text
+    index.close()
+
+
+def test_keep_one_takes_one_row_of_repeats_and_of_shared_ids(make):
+    docs = make([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "a")])
+    from pyspark.sql import functions as F
+
+    members = docs.select("doc_id", row_key().alias("key"), F.lit(1).alias("group"))
+    assert [r.doc_id for r in keep_one(docs, members, largest=False).collect()] == [1]
+    assert [r.doc_id for r in keep_one(docs, members, largest=True).collect()] == [2]
+
+
+@pytest.mark.parametrize("edges", [[(1, 2), (2, 3), (9, 8)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 60)], [(5, 5)], []])
+def test_components(spark, edges):
+    links = spark.createDataFrame(edges, "u long, v long")
+    got = {r.node: r.root for r in components.components(links).collect()}
+    want = classes(edges, {n for e in edges for n in e})
+    assert got == {n: r for n, r in want.items() if n != r}
+
+
+def slow_fingerprint(text, shingle=3):
+    words = bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode()).split()
+    if not words:
+        return 0
+    width = min(shingle, len(words))
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + width]), 42) for i in range(len(words) - width + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="aAbÉ é\n\t ", max_size=60))
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+def test_simhash_groups_equal_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    fps = {r.doc_id: slow_fingerprint(r.text) for r in rows}
+    want = classes([(a, b) for a, b in combinations(fps, 2) if (fps[a] ^ fps[b]).bit_count() <= 2], fps)
+    got = simhash.near_duplicates(docs).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {d: (f"{fps[d]:016x}", want[d]) for d in fps}
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2])
+@pytest.mark.parametrize("paired", [2, 64])
+def test_links_lose_none_in_hot_blocks(spark, distance, paired):
+    rng = np.random.default_rng(7)
+    centre = int(rng.integers(1 << 62))
+    values = {centre}
+    for _ in range(120):
+        v = centre
+        for b in rng.integers(0, 64, rng.integers(1, 5)):
+            v ^= 1 << int(b)
+        values.add(v)
+    signed = {v: v - (1 << 64) if v >> 63 else v for v in values}
+    fps = spark.createDataFrame([(s,) for s in signed.values()], "fp long")
+    got = [(r.u, r.v) for r in simhash.links(fps, distance, 5, paired).collect()]
+    near = [(signed[a], signed[b]) for a, b in combinations(values, 2) if (a ^ b).bit_count() <= distance]
+    assert classes(got, signed.values()) == classes(near, signed.values())
+    assert all(bin((u ^ v) & (1 << 64) - 1).count("1") <= distance for u, v in got)
+
+
+def test_simhash_of_odd_rows(odd, nothing):
+    got = simhash.near_duplicates(odd).collect()
+    assert len(got) == odd.count()
+    zero = [r for r in got if r.doc_id in (1, 2, 3)]
+    assert all(r.fingerprint == "0" * 16 and r.component_id == 1 for r in zero)
+    kept = simhash.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([None, 1, 4, 5, 7, 8, 9])
+    assert simhash.near_duplicates(nothing).count() == 0
+    assert simhash.drop_near_duplicates(nothing).count() == 0
+
+
+def repeats(texts, least):
+    """Spans of all runs of ``least`` words that another document holds too."""
+    words = {d: (t or "").encode().split() for d, t in texts.items()}
+    where = defaultdict(set)
+    for d, w in words.items():
+        for i in range(len(w) - least + 1):
+            where[tuple(w[i : i + least])].add(d)
+    out = set()
+    for d, w in words.items():
+        open_ = None
+        for i in range(len(w) - least + 1):
+            if len(where[tuple(w[i : i + least])]) > 1:
+                if open_ and i <= open_[1]:
+                    open_[1] = i + least
+                else:
+                    out |= {(d, *open_)} if open_ else set()
+                    open_ = [i, i + least]
+        out |= {(d, *open_)} if open_ else set()
+    return out
+
+
+def test_repeated_passages_equal_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    want = repeats({r.doc_id: r.text for r in docs.collect()}, 50)
+    got = suffix_dedup.find_repeats(docs).collect()
+    assert want and {(r.doc_id, r.start, r.end) for r in got} == want
+    assert all(r.partner != r.doc_id for r in got)
+
+
+def test_a_passage_in_very_many_documents(spark, make):
+    rng = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(55))
+    texts = {i: " ".join(f"u{i}x{k}" for k in range(int(rng.integers(0, 30)))) + " " + passage + " " + " ".join(f"v{i}x{k}" for k in range(int(rng.integers(1, 30)))) for i in range(300)}
+    texts |= {1000 + i: " ".join(f"c{i}x{k}" for k in range(80)) for i in range(20)}
+    got = suffix_dedup.find_repeats(make(list(texts.items()))).collect()
+    assert {(r.doc_id, r.start, r.end) for r in got} == repeats(texts, 50)
+
+
+def test_repeats_of_odd_rows(make, odd, nothing):
+    long = " ".join(f"w{i}" for i in range(60))
+    docs = make([(1, long), (1, long), (2, long), (3, None), (None, long + " end")])
+    assert {(r.doc_id, r.start, r.end) for r in suffix_dedup.find_repeats(docs).collect()} == {(1, 0, 60), (2, 0, 60), (None, 0, 60)}
+    assert suffix_dedup.find_repeats(odd).count() == 0
+    assert suffix_dedup.find_repeats(nothing).count() == 0
