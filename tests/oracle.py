@@ -34,6 +34,7 @@ def _rows(columns, rows) -> Counter:
 
 
 _KINDS = {
+    "BOOLEAN": "boolean",
     "INTEGER": "int",
     "BIGINT": "bigint",
     "HUGEINT": "hugeint",

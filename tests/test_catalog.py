@@ -7,9 +7,10 @@ import pytest
 import __spark_entry__ as entry_points
 import oracle
 from conftest import SMALL, plan
+from tagloom import catalog
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +32,8 @@ def build(spark):
 
 
 def test_sql_belongs_to_queries():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
