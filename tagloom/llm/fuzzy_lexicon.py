@@ -76,6 +76,8 @@ class FuzzyLexicon:
         if len(self.sets) > STATES:
             self._restart()
         state, best = self.first, None
+        if state < 0:
+            return None
         for c in word:
             state = found if (found := self.steps[state].get(c)) is not None else self._step(state, c)
             if state < 0:
