@@ -179,7 +179,11 @@ def written(spans: Column) -> Column:
 def ordered(*spans: Column) -> Column:
     """All spans by kind, then start."""
     together = F.concat(*spans)
-    return F.concat(*[F.array_sort(F.filter(together, lambda s, k=k: s["kind"] == k), lambda a, b: F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["end"] - b["end"])).cast("int")) for k in KINDS])
+
+    def of(kind: str) -> Column:
+        return F.sort_array(F.filter(together, lambda s: s["kind"] == F.lit(kind)))
+
+    return F.concat(*map(of, KINDS))
 
 
 def summary(found: DataFrame) -> DataFrame:
