@@ -34,6 +34,8 @@ BYTE = r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})?$"
 #: Tokens that look like identifiers: a digit or an at sign, and so many characters.
 TOKEN = r"(?<![A-Za-z0-9._%+@-])[A-Za-z._%+-]*+[0-9@][A-Za-z0-9._%+@-]*+"
 TOKEN_LENGTH = 6
+#: Matches whose lengths are summed together.
+BLOCK = 256
 #: Characters of the neighbourhood in which a context word is looked for.
 REACH = 40
 ROUNDS = 3
@@ -72,47 +74,52 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _found(text: Column, kind: str, pattern: str) -> Column:
-    """The valid matches of a pattern, left to right, with their places and context words.
+def _with_spans(rows: DataFrame, name: str, kind: str, pattern: str, worth: Column) -> DataFrame:
+    """``rows`` with the valid matches of a pattern in their text, left to right, in a column ``name``.
 
-    The pieces between the matches give the places: each match starts after all before it.
+    The pieces between matches give the places: a match starts after all that stands before it.
+    Lengths are summed within blocks and over the blocks, so that a text of very many matches
+    takes time in proportion. Each step is a column that the next uses twice, so that none is
+    made again for every match.
     """
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    parts = F.arrays_zip(
-        F.transform(gaps, lambda g: F.length(g)).alias("gap"),
-        matches.alias("value"),
-        F.transform(gaps, lambda g: F.lower(F.regexp_extract(F.right(g, F.lit(REACH)), r"(\S+)\s*$", 1))).alias("left"),
-        F.transform(F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))), lambda g: F.lower(F.regexp_extract(F.left(g, F.lit(REACH)), r"^\s*(\S+)", 1))).alias("right"),
+    matches, gaps, steps, sums, before = (f"_{x}" for x in ("matches", "gaps", "steps", "sums", "before"))
+    n = F.size(matches)
+
+    def total(array: str, first: Column, length: Column) -> Column:
+        return F.aggregate(F.slice(array, first, length), F.lit(0), lambda a, x: a + x)
+
+    def block(i: Column) -> Column:
+        return F.floor(i / BLOCK).cast("int")
+
+    def span(match: Column, i: Column) -> Column:
+        gap = F.get(gaps, i)
+        start = F.get(before, block(i)) + total(steps, block(i) * BLOCK + 1, i % BLOCK) + F.length(gap)
+        value = F.rtrim(match, F.lit(".-")) if kind == "" else match
+        left = F.lower(F.regexp_extract(F.right(gap, F.lit(REACH)), r"(\S+)\s*$", 1))
+        right = F.lower(F.regexp_extract(F.left(F.get(gaps, i + 1), F.lit(REACH)), r"^\s*(\S+)", 1))
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), left.alias("left"), right.alias("right"))
+
+    return (
+        rows.withColumn(matches, F.when(worth, F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)")))
+        .withColumn(gaps, F.when(n > 0, F.split("text", pattern, -1)))
+        .withColumn(steps, F.transform(matches, lambda m, i: F.length(m) + F.length(F.get(gaps, i))))
+        .withColumn(sums, F.when(F.size(steps) > 0, F.transform(F.sequence(F.lit(0), block(n - 1)), lambda b: total(steps, b * BLOCK + 1, F.lit(BLOCK)))))
+        .withColumn(before, F.when(F.size(sums) > 0, F.transform(F.sequence(F.lit(0), F.size(sums) - 1), lambda b: total(sums, F.lit(1), b))))
+        .withColumn(name, F.when(F.size(before) > 0, F.filter(F.transform(matches, span), lambda s: _valid(kind, s["value"]))).otherwise(F.expr(f"cast(array() as {SPAN})")))
+        .drop(matches, gaps, steps, sums, before)
     )
-    empty = F.from_json(F.lit("[]"), SPAN)
-
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + part["gap"]
-        value = F.rtrim(part["value"], F.lit(".-")) if kind == "" else part["value"]
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), part["left"].alias("left"), part["right"].alias("right"))
-        keep = part["value"].isNotNull() & _valid(kind, part["value"])
-        return F.struct(
-            (start + F.coalesce(F.length(part["value"]), F.lit(0))).alias("at"),
-            F.when(keep, F.concat(state["spans"], F.array(span).cast(SPAN))).otherwise(state["spans"]).alias("spans"),
-        )
-
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda state: state["spans"])
 
 
 def find_base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, key``, the spans of each kind in a column of its name, and ``loose`` tokens of no kind."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(text).alias("key"), text_of(text).alias("text"))
-    none = F.from_json(F.lit("[]"), SPAN)
     for kind, pattern in KINDS.items():
-        worth = F.col("text").rlike("[0-9]") if kind != "email" else F.lit(True)
-        if HOLDS[kind]:
-            worth = (F.instr("text", HOLDS[kind]) > 0) & worth
-        rows = rows.withColumn(kind, F.when(worth, _found(F.col("text"), kind, pattern)).otherwise(none))
-    rows = rows.withColumn("loose", F.when(F.col("text").rlike("[0-9@]"), _found(F.col("text"), "", TOKEN)).otherwise(none)).drop("text")
+        worth = F.instr("text", HOLDS[kind]) > 0 if HOLDS[kind] else F.lit(True)
+        rows = _with_spans(rows, kind, kind, pattern, worth if kind == "email" else worth & F.col("text").rlike("[0-9]"))
+    rows = _with_spans(rows, "loose", "", TOKEN, F.col("text").rlike("[0-9@]")).drop("text")
     base = F.concat(*KINDS)
     apart = F.filter("loose", lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return rows.withColumn("loose", F.when(F.size("loose") > 0, apart).otherwise(F.col("loose")))
+    return rows.withColumn("loose", F.when((F.size("loose") > 0) & (F.size(base) > 0), apart).otherwise(F.col("loose")))
 
 
 def _in_patterns(rows: DataFrame, *keep: str) -> DataFrame:

@@ -241,4 +241,12 @@ def test_personal_data_of_odd_rows(odd, nothing):
 
 
 def test_personal_data_runs_no_python(odd):
-    assert "Python" not in plan(pii.find_base(odd)) and "Arrow" not in plan(pii.find_base(odd))
+    text = plan(pii.find_base(odd))
+    assert "Python" not in text and "Arrow" not in text
+    assert text.count("regexp_extract_all(") == 5 and text.count("split(text") == 5
+
+
+def test_places_in_a_text_of_very_many_matches(make):
+    text = " ".join(["1.1.1.1"] * 3000)
+    row = pii.summary(pii.find(make([(1, text)]))).first()
+    assert row.n_ip == 3000 and row.spans == ",".join(stated_spans(text))
