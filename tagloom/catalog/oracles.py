@@ -97,7 +97,7 @@ def _predicted(select: str) -> str:
 _QUESTION_COLUMNS = [
     field
     for field in LABELED_QUESTIONS
-    if field.name not in ("Text", "prediction", "decoded", "Tags", "CreationDate", "LastEditDate", "batch_datetime_stamp")
+    if field.name not in ("Text", "prediction", "decoded", "Tags", "CreationDate", "LastEditDate", "batch_datetime_stamp", "load")
 ] + [POSTS["Body"]]
 
 
@@ -134,14 +134,23 @@ def _conform_posts() -> str:
     return f"SELECT {', '.join(columns)}, {lost} AS values_lost FROM posts"
 
 
-def _conform_losses() -> str:
+def _conform_losses(everywhere: tuple[str, ...] | None = None) -> str:
+    """Values given and lost per column; posts of odd id have only the columns ``everywhere``."""
     return " UNION ALL ".join(
         f"SELECT '{f.name}' AS column_name, count({f.name}) AS values_given, "
         f"count(*) FILTER ({_LOST.get(f.name, 'false')}) AS values_lost FROM posts"
+        + (" WHERE id % 2 = 0" if everywhere and f.name not in everywhere else "")
         for f in POSTS
     )
 
 
+# The questions that a model learns from, one row per tag.
+_LEARNED = {
+    "parts": "SELECT *, ('0x' || substr(md5(CAST(question_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 90 AS learned FROM prepared",
+    "learned": "SELECT * FROM (SELECT Text, unnest(tag_list) AS tag FROM parts WHERE learned) WHERE tag <> ''",
+    "learned_terms": "SELECT unnest(string_split(Text, ' ')) AS term FROM learned",
+}
+
 _LABELED = """
     question_id, Text, prediction, decoded, AcceptedAnswerId, AnswerCount, CommentCount,
     CAST(CreationDate AS TIMESTAMP) AS CreationDate, FavoriteCount, CAST(LastEditDate AS TIMESTAMP) AS LastEditDate,
@@ -198,6 +207,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "conform_posts": _with(_conform_posts(), "posts"),
         "conform_losses": _with(_conform_losses(), "posts"),
+        "landing_losses": _with(_conform_losses(("id", "Title", "CreationDate", "Score", "CommentCount")), "posts"),
         "checkpoint_roundtrip": _with(
             "SELECT question_id, Text, unnest(tag_list) AS tag FROM prepared", *_PREPARED
         ),
@@ -261,7 +271,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "term_frequency": _with(
             "SELECT term, n, row_number() OVER (ORDER BY n DESC, term) - 1 AS term_index "
-            "FROM (SELECT term, count(*) AS n FROM corpus_terms GROUP BY term) QUALIFY term_index < 65536",
+            "FROM (SELECT term, count(*) AS n FROM corpus_terms GROUP BY term)",
             *_PREPARED,
             "corpus",
             "corpus_terms",
@@ -295,21 +305,25 @@ def oracle_sql() -> dict[str, str]:
             f"(SELECT least(65536, count(DISTINCT term)) FROM learned_terms WHERE term NOT IN ({_STOP})) AS vocabulary "
             "FROM learned",
             *_PREPARED,
-            parts="SELECT *, ('0x' || substr(md5(CAST(question_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 90 AS learned "
-            "FROM prepared",
-            learned="SELECT * FROM (SELECT Text, unnest(tag_list) AS tag FROM parts WHERE learned) WHERE tag <> ''",
-            learned_terms="SELECT unnest(string_split(Text, ' ')) AS term FROM learned",
+            **_LEARNED,
         ),
         "stored_label_index": _with(
             "SELECT tag, row_number() OVER (ORDER BY n DESC, tag) - 1 AS label_index "
-            "FROM (SELECT tag, count(*) AS n FROM tag_rows GROUP BY tag)",
-            *_QUESTIONS,
-            "tag_rows",
+            "FROM (SELECT tag, count(*) AS n FROM learned GROUP BY tag)",
+            *_PREPARED,
+            **_LEARNED,
         ),
+        "infer_topics": _with("SELECT question_id, Text, true AS tagged FROM prepared", *_PREPARED),
         "infer_coverage": _with(
             "SELECT count(*) AS rows, count(DISTINCT question_id) AS questions, count(*) AS known_tags FROM prepared",
             *_PREPARED,
         ),
+        "eval_topic_model": _with(
+            "SELECT count(*) AS scored, true AS above_floor "
+            "FROM (SELECT unnest(tag_list) AS tag FROM parts WHERE NOT learned) WHERE tag <> ''",
+            *_PREPARED,
+            **_LEARNED,
+        ),
         "decode_labels": _with(
             "SELECT question_id, CAST(prediction AS BIGINT) AS prediction, decoded FROM judged "
             "WHERE prediction IS NOT NULL",
@@ -338,7 +352,19 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * EXCLUDE (tag_list), array_to_string(tag_list, ',') AS Tags FROM predicted"
         ),
         "labeled_questions": _predicted(
-            f"SELECT {_LABELED}, TIMESTAMP '2023-10-22 02:00:00' AS batch_datetime_stamp FROM predicted"
+            f"SELECT {_LABELED}, TIMESTAMP '2023-10-22 02:00:00' AS batch_datetime_stamp, 'all' AS load FROM predicted"
+        ),
+        "two_loads_one_hour": _predicted(
+            "SELECT question_id, decoded, TIMESTAMP '2023-10-22 02:00:00' AS batch_datetime_stamp, "
+            "CASE WHEN question_id % 2 = 0 THEN 'even' ELSE 'odd' END AS load "
+            "FROM predicted WHERE question_id % 2 = 1 OR Score > 0"
+        ),
+        "published_top10_daily": _predicted(
+            "SELECT day, topic, n, row_number() OVER (PARTITION BY day ORDER BY n DESC, topic) AS rank FROM ("
+            "SELECT CAST(CreationDate AS DATE) AS day, decoded AS topic, count(*) AS n FROM ("
+            f"SELECT * FROM ({_BATCHES}) WHERE batch_datetime_stamp <= TIMESTAMP '2023-10-23 12:00:00' "
+            "QUALIFY rank() OVER (PARTITION BY question_id ORDER BY batch_datetime_stamp DESC) = 1) "
+            "WHERE decoded IS NOT NULL GROUP BY 1, 2) QUALIFY rank <= 10"
         ),
         "as_of_predictions": _predicted(
             f"SELECT question_id, decoded, batch_datetime_stamp FROM ({_BATCHES}) "

@@ -38,7 +38,8 @@ FROM (VALUES (1, 'Question'), (2, 'Answer'), (3, 'Wiki')) AS v(Id, Type)
 USERS = """
 SELECT CAST(c.c_custkey AS INT) AS id, CAST(NULL AS INT) AS Age,
        DATE '2009-01-01' + CAST(c.c_custkey % 1500 AS INT) AS CreationDate,
-       c.c_name AS DisplayName, CAST(c.c_custkey % 13 AS INT) AS DownVotes,
+       CASE c.c_custkey % 9 WHEN 0 THEN concat('  ', c.c_name) WHEN 1 THEN concat(c.c_name, ' ') WHEN 2 THEN ''
+            WHEN 3 THEN NULL WHEN 4 THEN ' ' WHEN 5 THEN 'null' ELSE c.c_name END AS DisplayName, CAST(c.c_custkey % 13 AS INT) AS DownVotes,
        CAST(NULL AS STRING) AS EmailHash, n.n_name AS Location,
        CAST(floor(c.c_acctbal) AS INT) AS Reputation, CAST(c.c_custkey % 17 AS INT) AS UpVotes,
        CAST(c.c_custkey % 101 AS INT) AS Views, CAST(NULL AS STRING) AS WebsiteUrl,

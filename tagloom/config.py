@@ -64,4 +64,7 @@ class TrainingSettings:
 
     vectorizer: str = "count"
     aggregation_depth: int = 2
-    coefficient_limit_bytes: int = 2 << 30
+    #: Refuse a fit whose coefficients need more bytes on the driver; off unless set.
+    coefficient_limit_bytes: int | None = None
+    #: Partitions of the training rows; those of the input unless set.
+    partitions: int | None = None

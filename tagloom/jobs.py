@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.config import TrainingSettings, Zones
 from tagloom.plans import ingest_dimension, ingest_posts, publish_users, tag_load, train
 from tagloom.schemas import POST_TYPES, USERS
+from tagloom.session import SETTINGS
 from tagloom.sources import JdbcTable, read_table
 
 DIMENSIONS = {"users": USERS, "post_types": POST_TYPES}
@@ -32,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
     posts = jobs.add_parser("ingest-posts", help="copy a source folder into one load")
     posts.add_argument("--source", required=True)
     posts.add_argument("--load", required=True)
+    posts.add_argument("--most-lost", type=float, default=1.0, help="share of a column's values that may not convert")
+    posts.add_argument("--one-schema", action="store_true", help="all files have the columns of the first")
 
     dimension = jobs.add_parser("ingest-dimension", help="replace a landed dimension")
     dimension.add_argument("--name", choices=sorted(DIMENSIONS), required=True)
@@ -44,6 +47,10 @@ def _parser() -> argparse.ArgumentParser:
     training = jobs.add_parser("train", help="fit, store and evaluate the model")
     training.add_argument("--max-iterations", type=int, default=TrainingSettings.max_iterations)
     training.add_argument("--vectorizer", choices=("count", "hashing"), default=TrainingSettings.vectorizer)
+    training.add_argument("--vocabulary", type=int, default=TrainingSettings.vocabulary)
+    training.add_argument("--train-share", type=int, default=TrainingSettings.train_share, help="percent of the questions")
+    training.add_argument("--coefficient-limit", type=int, help="refuse a model of more bytes")
+    training.add_argument("--partitions", type=int, help="of the training rows")
 
     tagging = jobs.add_parser("tag", help="tag a load and publish it as a batch")
     tagging.add_argument("--load", required=True)
@@ -63,15 +70,26 @@ def _dimension(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"tagloom {args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tagloom {args.job}")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     zones = Zones.under(args.root, database=args.database, table_format=args.table_format)
     if args.job == "ingest-posts":
-        print(f"{ingest_posts(spark, zones, args.source, args.load)} files")
+        landed = ingest_posts(spark, zones, args.source, args.load, not args.one_schema, most_lost=args.most_lost)
+        print(f"{landed.files} files, {landed.lost} values lost")
     elif args.job == "ingest-dimension":
         target = {"users": zones.users, "post_types": zones.post_types}[args.name]
         ingest_dimension(_dimension(spark, args), DIMENSIONS[args.name], target)
     elif args.job == "train":
-        settings = TrainingSettings(max_iterations=args.max_iterations, vectorizer=args.vectorizer)
+        settings = TrainingSettings(
+            vocabulary=args.vocabulary,
+            max_iterations=args.max_iterations,
+            train_share=args.train_share,
+            vectorizer=args.vectorizer,
+            coefficient_limit_bytes=args.coefficient_limit,
+            partitions=args.partitions,
+        )
         train(spark, zones, settings).show(truncate=False)
     elif args.job == "tag":
         print(f"batch {tag_load(spark, zones, args.load, args.batch)}")

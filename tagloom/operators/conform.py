@@ -42,25 +42,34 @@ def conform(df: DataFrame, schema: T.StructType, lost: str | None = "values_lost
     return df.select(*converted)
 
 
-def conversion_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Per column of ``schema`` present in ``df``: values given and values lost, in one pass."""
+def _given(df: DataFrame, schema: T.StructType) -> dict[str, T.DataType]:
+    """The columns of ``schema`` that ``df`` has, with the types they have there."""
     present = {name.lower(): field.dataType for name, field in zip(df.columns, df.schema)}
-    fields = [field for field in schema if field.name.lower() in present]
+    return {field.name: present[field.name.lower()] for field in schema if field.name.lower() in present}
+
+
+def loss_counts(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """Aggregates ``given_<column>`` and ``lost_<column>`` for each column of ``schema`` that ``df`` has."""
     counts: list[Column] = []
-    for field in fields:
-        given = F.col(field.name).isNotNull()
-        kept = _convert(field, present[field.name.lower()]).isNotNull()
-        counts.append(F.count_if(given).alias(f"given_{field.name}"))
-        counts.append(F.count_if(given & ~kept).alias(f"lost_{field.name}"))
+    for name, source in _given(df, schema).items():
+        given = F.col(name).isNotNull()
+        kept = _convert(schema[name], source).isNotNull()
+        counts.append(F.count_if(given).alias(f"given_{name}"))
+        counts.append(F.count_if(given & ~kept).alias(f"lost_{name}"))
+    return counts
+
+
+def conversion_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per column of ``schema`` present in ``df``: values given and values lost, in one pass."""
     rows = [
         F.struct(
-            F.lit(field.name).alias("column_name"),
-            F.col(f"given_{field.name}").alias("values_given"),
-            F.col(f"lost_{field.name}").alias("values_lost"),
+            F.lit(name).alias("column_name"),
+            F.col(f"given_{name}").alias("values_given"),
+            F.col(f"lost_{name}").alias("values_lost"),
         )
-        for field in fields
+        for name in _given(df, schema)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+    return df.agg(*loss_counts(df, schema)).select(F.inline(F.array(*rows)))
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -11,30 +11,36 @@ from tagloom.functions.stamps import batch_stamp
 from tagloom.schemas import LABELED_QUESTIONS
 
 BATCH = "batch_datetime_stamp"
+LOAD = "load"
 
 
 def merge_predictions(predictions: DataFrame, questions: DataFrame) -> DataFrame:
     """Question columns joined to ``question_id, Text, prediction, decoded``.
 
-    The rows match on id and text, and equal predictions are merged first. So a question
-    that was delivered k times gives k rows, not k times k. The text of the questions
-    takes part as a digest only and is not shuffled a second time.
+    The rows match on id, null ids too, and on text, and equal predictions are merged first.
+    So a question that was delivered k times gives k rows, not k times k. Texts take part as
+    digests; that of a match comes from the question, so that merging sorts no texts.
 
     Predictions without a question are kept, as by a left join. They are added apart, as
     Spark can split the many copies of one question over tasks in an inner join only.
     """
     keys = ["question_id", "__text"]
     digest = F.sha2("Text", 256)
-    unique = predictions.withColumn("__text", digest).dropDuplicates([*keys, "prediction", "decoded"])
-    details = questions.withColumn("__text", digest).drop("Text")
-    matched = unique.join(details, keys)
-    unmatched = unique.join(details.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True).drop("__text")
-
-
-def labeled_questions(tagged: DataFrame, batch: datetime | str | None = None) -> DataFrame:
-    """``tagged`` in the columns and types of the table, with its batch stamp."""
-    stamped = tagged.withColumn(BATCH, batch_stamp(batch))
+    unique = predictions.select("question_id", digest.alias("__text"), "prediction", "decoded").distinct()
+    details = questions.withColumn("__text", digest)
+    named = details.withColumnsRenamed({"question_id": "__id", "__text": "__digest"})
+    same = unique["question_id"].eqNullSafe(named["__id"]) & unique["__text"].eqNullSafe(named["__digest"])
+    matched = unique.join(named, same).drop("__text", "__id", "__digest")
+    known = questions.select(F.col("question_id").alias("__id"), digest.alias("__digest")).distinct()
+    texts = predictions.withColumn("__text", digest)
+    alone = texts.join(known, texts["question_id"].eqNullSafe(known["__id"]) & texts["__text"].eqNullSafe(known["__digest"]), "left_anti")
+    unmatched = alone.dropDuplicates([*keys, "prediction", "decoded"]).drop("__text")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def labeled_questions(tagged: DataFrame, batch: datetime | str | None = None, load: str = "") -> DataFrame:
+    """``tagged`` in the columns and types of the table, with its batch stamp and load."""
+    stamped = tagged.withColumns({BATCH: batch_stamp(batch), LOAD: F.lit(load)})
     return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LABELED_QUESTIONS])
 
 

@@ -2,33 +2,105 @@
 
 from __future__ import annotations
 
-from functools import partial
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from tagloom.config import Zones
-from tagloom.operators.conform import conform
+from tagloom.operators.conform import SchemaMismatch, conform, loss_counts
 from tagloom.schemas import POSTS
 from tagloom.sinks.files import compact_copy, full_refresh, write_quoted_csv
-from tagloom.sources.files import folder_exists, read_csv
+from tagloom.sources.files import delete_folder, folder_exists, replace_folder
 
+LOSSES = "column_name string, values_given long, values_lost long"
 
-def ingest_posts(spark: SparkSession, zones: Zones, source: str, load: str, merge_schema: bool = False) -> int:
+
+class TooManyLosses(ValueError):
+    """More values than allowed do not convert to the types of the table."""
+
+
+@dataclass(frozen=True)
+class Landed:
+    """What a landing did: files written, and per column the values given and lost."""
+
+    files: int
+    losses: dict[str, tuple[int, int]]
+
+    @property
+    def lost(self) -> int:
+        return sum(lost for _, lost in self.losses.values())
+
+
+def _require(found: DataFrame, keys: Sequence[str]) -> None:
+    missing = {key.lower() for key in keys} - {name.lower() for name in found.columns}
+    if missing:
+        raise SchemaMismatch(f"the source has no column {', '.join(sorted(missing))}")
+
+
+def _check_losses(losses: dict[str, tuple[int, int]], most: float) -> None:
+    bad = {name: pair for name, pair in losses.items() if pair[1] > most * pair[0]}
+    if bad:
+        raise TooManyLosses("; ".join(f"{name}: {lost} of {given} values" for name, (given, lost) in bad.items()))
+
+
+def ingest_posts(
+    spark: SparkSession,
+    zones: Zones,
+    source: str,
+    load: str,
+    merge_schema: bool = True,
+    keys: Sequence[str] = ("id",),
+    most_lost: float = 1.0,
+) -> Landed:
     """Copy a source folder, at any depth and in any close types, into one landed load.
 
     Each load has its own folder: a failed or repeated copy touches no other load, and
-    readers of the previous one are not disturbed. ``merge_schema`` is for a source whose
-    files differ in their columns. Returns the number of files.
+    readers of the previous one are not disturbed. The columns of all files are read
+    unless ``merge_schema`` is off. A source without the ``keys`` is refused, as is one in
+    which a column loses more than the share ``most_lost`` of its values; the losses are
+    counted by the pass that copies, returned, and stored below ``zones.landing``.
     """
     if not folder_exists(spark, source):
         raise FileNotFoundError(source)
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     found = reader.option("mergeSchema", merge_schema).parquet(source)
-    return compact_copy(conform(found, POSTS, lost=None), source, f"{zones.posts}/load={load}")
+    _require(found, keys)
+    counted, names = Observation(), loss_counts(found, POSTS)
+    target = f"{zones.posts}/load={load}"
+    staging = f"{zones.landing}/posts_staging/{load}-{uuid.uuid4().hex}"
+    try:
+        files = compact_copy(conform(found.observe(counted, *names), POSTS, lost=None), source, staging)
+        told = counted.get
+        losses = {name[6:]: (told[name], told[f"lost_{name[6:]}"]) for name in told if name.startswith("given_")}
+        _check_losses(losses, most_lost)
+    except Exception:
+        delete_folder(spark, staging)
+        raise
+    replace_folder(spark, staging, target)
+    rows = [(name, *pair) for name, pair in losses.items()]
+    spark.createDataFrame(rows, LOSSES).coalesce(1).write.mode("overwrite").parquet(losses_path(zones, load))
+    return Landed(files, losses)
+
+
+def losses_path(zones: Zones, load: str) -> str:
+    return f"{zones.landing}/posts_losses/load={load}"
+
+
+def ingest_dimension(table: DataFrame, schema: StructType, target: str, keys: Sequence[str] = ("id",), most_lost: float = 1.0) -> Landed:
+    """Replace a landed dimension by ``table``, as quoted CSV; losses as in ``ingest_posts``."""
+    _require(table, keys)
+    counted = Observation()
+    observed = conform(table.observe(counted, *loss_counts(table, schema)), schema, lost=None)
+    losses: dict[str, tuple[int, int]] = {}
 
+    def write(df: DataFrame, path: str, mode: str) -> None:
+        write_quoted_csv(df, path, mode)
+        told = counted.get
+        losses.update({name[6:]: (told[name], told[f"lost_{name[6:]}"]) for name in told if name.startswith("given_")})
+        _check_losses(losses, most_lost)
 
-def ingest_dimension(table: DataFrame, schema: StructType, target: str) -> None:
-    """Replace a landed dimension by ``table``, as quoted CSV."""
-    read = partial(read_csv, table.sparkSession, schema=schema, multi_line=True)
-    full_refresh(conform(table, schema, lost=None), target, write=write_quoted_csv, read=read)
+    full_refresh(observed, target, write=write)
+    return Landed(1, losses)

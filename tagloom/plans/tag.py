@@ -9,27 +9,31 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.config import Zones
 from tagloom.functions.stamps import resolve_batch
 from tagloom.operators.questions import prepare_questions
-from tagloom.operators.results import BATCH, labeled_questions
+from tagloom.operators.results import BATCH, LOAD, labeled_questions
 from tagloom.operators.topic_model import load_model, predict_topics
 from tagloom.schemas import LABELED_QUESTIONS, POST_TYPES
 from tagloom.sinks.tables import create_database, create_external_table, publish_batch
 from tagloom.sources.files import read_csv, read_landed_posts
 
 
-def publish_labeled(tagged: DataFrame, zones: Zones, batch: datetime | str | None = None) -> str:
-    """Publish tagged questions as one batch of the table; returns its stamp."""
+def publish_labeled(tagged: DataFrame, zones: Zones, batch: datetime | str | None = None, load: str = "all") -> str:
+    """Publish the tagged questions of a load as one batch of the table; returns its stamp.
+
+    A batch holds each load once: loads of the same hour stand side by side, and a load
+    that is published again in that hour takes its own place.
+    """
     spark = tagged.sparkSession
     stamp = resolve_batch(spark, batch)
     location = f"{zones.serving}/labeled_questions"
     create_database(spark, zones.database, f"{zones.serving}/database")
-    create_external_table(spark, zones.labeled_questions, LABELED_QUESTIONS, location, BATCH, zones.table_format)
+    create_external_table(spark, zones.labeled_questions, LABELED_QUESTIONS, location, (BATCH, LOAD), zones.table_format)
     publish_batch(
-        labeled_questions(tagged, stamp),
+        labeled_questions(tagged, stamp, load),
         zones.labeled_questions,
         LABELED_QUESTIONS,
         location,
-        BATCH,
-        f"{datetime.strptime(stamp, '%Y_%m_%d_%H'):%Y-%m-%d %H:%M:%S}",
+        (BATCH, LOAD),
+        (f"{datetime.strptime(stamp, '%Y_%m_%d_%H'):%Y-%m-%d %H:%M:%S}", load),
         zones.table_format,
     )
     return stamp
@@ -47,4 +51,4 @@ def tag_load(spark: SparkSession, zones: Zones, load: str, batch: datetime | str
 
     One pass from scan to write; counts are read from the table afterwards.
     """
-    return publish_labeled(tag_posts(read_landed_posts(spark, zones.posts, load), zones), zones, batch)
+    return publish_labeled(tag_posts(read_landed_posts(spark, zones.posts, load), zones), zones, batch, load)

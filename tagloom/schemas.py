@@ -76,6 +76,7 @@ LABELED_QUESTIONS = _table(
     ViewCount="int",
     Type="string",
     batch_datetime_stamp="timestamp",
+    load="string",
 )
 
 USERS_DIM = _table(

@@ -2,6 +2,7 @@
 
 from tagloom.sinks.files import checkpoint_parquet, compact_copy, full_refresh, write_quoted_csv
 from tagloom.sinks.tables import (
+    TableMismatch,
     create_database,
     create_external_table,
     overwrite_table,
@@ -9,6 +10,7 @@ from tagloom.sinks.tables import (
 )
 
 __all__ = [
+    "TableMismatch",
     "checkpoint_parquet",
     "compact_copy",
     "create_database",

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from tagloom.sources.files import folder_bytes
+from tagloom.sources.files import KEEP_VALUES, delete_folder, folder_bytes, replace_folder
 
 TARGET_FILE_BYTES = 256 << 20
 CSV_ROWS_PER_FILE = 1_000_000
@@ -23,7 +23,10 @@ def checkpoint_parquet(df: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header, every value quoted, ``\\`` as escape and files that one task can read."""
+    """CSV with a header, every value quoted, ``\\`` as escape and files that one task can read.
+
+    Blanks at the ends of a value, empty strings and nulls read back as they were.
+    """
     (
         df.write.mode(mode)
         .option("header", True)
@@ -31,6 +34,7 @@ def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("quote", '"')
         .option("escape", "\\")
         .option("quoteAll", True)
+        .options(**KEEP_VALUES)
         .option("maxRecordsPerFile", CSV_ROWS_PER_FILE)
         .csv(path)
     )
@@ -47,14 +51,17 @@ def compact_copy(df: DataFrame, source: str, target: str, file_bytes: int = TARG
     return files
 
 
-def full_refresh(df: DataFrame, target: str, write=checkpoint_parquet, read=None) -> None:
+def full_refresh(df: DataFrame, target: str, write=checkpoint_parquet) -> None:
     """Replace the content of ``target`` by ``df``, also where ``df`` reads from ``target``.
 
-    ``df`` is first written beside the target, which stays whole until that copy is
-    complete, and is then replaced from the copy. If the second write is cut short, the
-    copy is still there. ``write(df, path, mode=...)`` and ``read(path)`` set the format.
+    ``df`` is written once, beside the target, which stays whole until that is complete and
+    is then replaced by a rename. A failed write leaves the target as it was and nothing
+    beside it. ``write(df, path, mode=...)`` sets the format.
     """
     staging = f"{target.rstrip('/')}-staging-{uuid.uuid4().hex}"
-    write(df, staging, mode="errorifexists")
-    staged = read(staging) if read else df.sparkSession.read.schema(df.schema).parquet(staging)
-    write(staged, target, mode="overwrite")
+    try:
+        write(df, staging, mode="errorifexists")
+    except Exception:
+        delete_folder(df.sparkSession, staging)
+        raise
+    replace_folder(df.sparkSession, staging, target)

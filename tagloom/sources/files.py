@@ -9,6 +9,15 @@ from pyspark.sql.types import StructType
 from tagloom.schemas import POSTS
 
 
+#: CSV options that keep blanks, and tell a null (written as a mark of its own) from an empty string.
+KEEP_VALUES = {
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\x1fnull\x1f",
+    "emptyValue": "",
+}
+
+
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None, merge_schema: bool = False) -> DataFrame:
     """Parquet at ``path``. A given schema saves the footer read and fills absent columns with null."""
     reader = spark.read.option("mergeSchema", merge_schema)
@@ -45,6 +54,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
         .option("quote", '"')
         .option("escape", "\\")
         .option("multiLine", multi_line)
+        .options(**KEEP_VALUES)
         .csv(path)
     )
 
@@ -92,3 +102,27 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     """Size of all files below ``folder``, from the file system; starts no job."""
     system, path = _file_system(spark, folder)
     return system.getContentSummary(path).getLength()
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    system, path = _file_system(spark, folder)
+    system.delete(path, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``, by renaming both."""
+    system, new = _file_system(spark, source)
+    _, old = _file_system(spark, target)
+    aside = old.suffix(f"-old-{new.getName()[-32:]}")
+    had_old = system.exists(old)
+    if had_old and not system.rename(old, aside):
+        raise OSError(f"cannot move {target} aside")
+    if not had_old:
+        system.mkdirs(old.getParent())
+    if not system.rename(new, old):
+        if had_old:
+            system.rename(aside, old)
+        raise OSError(f"cannot move {source} to {target}")
+    if had_old:
+        system.delete(aside, True)

@@ -10,8 +10,10 @@ from tagloom.catalog import views
 from tagloom.config import TrainingSettings, Zones
 from tagloom.operators import results, topic_model
 from tagloom.operators.questions import prepare_questions
+from tagloom.operators.conform import SchemaMismatch
 from tagloom.plans import ingest_dimension, ingest_posts, publish_users, tag_load, train
 from tagloom.plans.tag import tag_posts
+from tagloom.plans.ingest import TooManyLosses
 from tagloom.schemas import POST_TYPES, USERS
 from tagloom.sources import read_csv, read_landed_posts
 
@@ -99,9 +101,32 @@ def test_hashed_features_train_too(spark, lake, metrics):
 def test_a_model_too_large_for_the_driver_is_refused(spark):
     questions = spark.createDataFrame([("a b", ["x", "y"])], "Text string, Tags array<string>")
     with pytest.raises(topic_model.ModelTooLarge):
-        topic_model.fit_topic_model(questions, TrainingSettings(coefficient_limit_bytes=1000))
+        topic_model.fit_topic_model(questions, TrainingSettings(coefficient_limit_bytes=1))
     with pytest.raises(ValueError):
         topic_model.build_pipeline(TrainingSettings(vectorizer="other"))
+    # Without a limit any number of tags is taken; sizes count the terms that there are.
+    many = spark.range(5000).select(F.array(F.lit("a"), F.lit("b")).alias("Filtered"), F.col("id").cast("string").alias("tag"))
+    assert topic_model.check_model_size(many, TrainingSettings()) == 5000 * 2 * 8
+
+
+def test_tokens_are_cut_once_and_all_stages_are_stored(spark, lake, metrics):
+    model, _ = topic_model.load_model(lake.model, lake.label_index)
+    assert [type(stage).__name__ for stage in model.stages[:2]] == ["Tokenizer", "StopWordsRemover"] and len(model.stages) == 6
+
+
+def test_landing_refuses_what_it_would_lose(spark, tmp_path):
+    zones = Zones.under(str(tmp_path / "lake"))
+    bad = spark.createDataFrame([(1, "2.5"), (2, "n/a")], "id int, Score string")
+    bad.write.parquet(str(tmp_path / "bad"))
+    landed = ingest_posts(spark, zones, str(tmp_path / "bad"), "x")
+    assert landed.losses == {"id": (2, 0), "Score": (2, 1)} and landed.lost == 1
+    with pytest.raises(TooManyLosses):
+        ingest_posts(spark, zones, str(tmp_path / "bad"), "x", most_lost=0.1)
+    assert read_landed_posts(spark, zones.posts, "x").count() == 2
+    bad.withColumnRenamed("id", "post").write.parquet(str(tmp_path / "keyless"))
+    with pytest.raises(SchemaMismatch):
+        ingest_posts(spark, zones, str(tmp_path / "keyless"), "x")
+    assert not list((tmp_path / "lake").rglob("posts_staging/*"))
 
 
 def test_unknown_tags_are_scored_as_wrong(spark, lake, metrics):

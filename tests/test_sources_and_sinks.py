@@ -10,6 +10,7 @@ from conftest import plan
 from tagloom.operators.conform import SchemaMismatch
 from tagloom.schemas import POST_TYPES, POSTS, USERS
 from tagloom.sinks import (
+    TableMismatch,
     checkpoint_parquet,
     compact_copy,
     create_database,
@@ -29,6 +30,7 @@ from tagloom.sources import (
     read_table,
     source_manifest,
 )
+from tagloom.sources.files import KEEP_VALUES
 
 
 def user(id, name="n", location="l"):
@@ -46,7 +48,7 @@ def test_csv_keeps_quotes_newlines_and_nulls(spark, tmp_path):
 def test_csv_sink_quotes_every_value(spark, tmp_path):
     write_quoted_csv(spark.createDataFrame([(1, "Question"), (2, None)], POST_TYPES).coalesce(1), str(tmp_path / "t"))
     (part,) = (tmp_path / "t").glob("part-*")
-    assert part.read_text().splitlines() == ['"Id","Type"', '"1","Question"', '"2",""']
+    assert part.read_text().splitlines() == ['"Id","Type"', '"1","Question"', f'"2","{KEEP_VALUES["nullValue"]}"']
 
 
 def test_csv_values_of_a_wrong_type_are_null(spark, tmp_path):
@@ -192,6 +194,31 @@ def test_a_batch_of_another_schema_is_refused(spark, table):
     assert counts(spark, name) == {}
 
 
+def test_an_empty_batch_leaves_no_partition(spark, table):
+    name, schema, location = table
+    publish_batch(spark.range(3), name, schema, location, "at", FIRST)
+    for batch in (FIRST, SECOND):
+        publish_batch(spark.range(3).filter("false"), name, schema, location, "at", batch)
+    assert counts(spark, name) == {} and spark.sql(f"SHOW PARTITIONS {name}").count() == 0
+    assert spark.read.schema(schema).parquet(location).count() == 0
+
+
+def test_a_table_elsewhere_is_refused(spark, tmp_path, table):
+    name, schema, location = table
+    create_external_table(spark, name, schema, f"file:{location}/", partition_by="at")
+    for other in ({"location": str(tmp_path / "elsewhere")}, {"schema": T.StructType([*schema, T.StructField("more", T.StringType())])}, {"format": "csv"}):
+        with pytest.raises(TableMismatch):
+            create_external_table(spark, name, **{"schema": table[1], "location": location, **other})
+
+
+def test_csv_keeps_values_as_they_are(spark, tmp_path):
+    values = ["  lead ", "tab\t", "", None, "null", " ", 'a "quoted" \\ one', "two\nlines"]
+    rows = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    write_quoted_csv(rows, str(tmp_path / "c"))
+    back = read_csv(spark, str(tmp_path / "c"), rows.schema, multi_line=True)
+    assert dict(back.collect()) == dict(enumerate(values))
+
+
 def test_a_new_table_sees_the_files_of_its_folder(spark, table):
     name, schema, location = table
     publish_batch(spark.range(3), name, schema, location, "at", FIRST)
