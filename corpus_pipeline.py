@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import decontaminate, exact_dedup, sentence_piece, simhash, toxicity
-from tagloom.llm.frames import documents, ship, staged, text_of
+from tagloom.llm.frames import documents, ship, staged
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -42,9 +42,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, piece_ids, n_pieces, round_trip``: each text as pieces, and whether these decode to it."""
     ship(spark)
-    rows = sentence_piece.encode(docs.select("doc_id", text_of().alias("text")), PIECES)
-    back = sentence_piece.decode(rows, PIECES)
-    return back.select("doc_id", "piece_ids", F.size("piece_ids").alias("n_pieces"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    rows = sentence_piece.encode_checked(docs.select("doc_id", "text"), PIECES)
+    return rows.select("doc_id", "piece_ids", F.size("piece_ids").alias("n_pieces"), "round_trip")
 
 
 STAGES = [

@@ -25,7 +25,7 @@ OTHER_WHITE = re.compile(r"[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u20
 DOUBLE_WHITE = ("  ", " \n", "\n ", "\n\n")
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Units remembered by a worker process in either of two generations, about 200 bytes each, and the longest of them.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 LONGEST = 64
 #: Characters after which the units of a text are read piecemeal.
 PIECEMEAL = 1 << 20

@@ -43,7 +43,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_COST = 10.0
 #: Pairs of pieces of which a worker remembers whether they stand beside each other.
-NEIGHBOURS = 1_000_000
+NEIGHBOURS = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -280,6 +280,22 @@ def decode(rows: DataFrame, model: str, ids: str = "piece_ids", text: str = "dec
     return rows.withColumn(text, decoded(model, F.col(ids)))
 
 
+def encode_checked(docs: DataFrame, model: str, text: str = "text", ids: str = "piece_ids", same: str = "round_trip") -> DataFrame:
+    """All columns of ``docs``, the ids of each text, and whether these decode to it, in one pass."""
+
+    @F.pandas_udf("ids array<int>, same boolean")
+    def checked(texts: pd.Series) -> pd.DataFrame:
+        m = piece_model(model)
+        rows = [m.encode(t) for t in texts]
+        return pd.DataFrame({"ids": [r.astype(np.int32) for r in rows], "same": [m.decode(r) == t for r, t in zip(rows, texts)]})
+
+    # A name of its own, so that no column of the documents is hidden by it.
+    held = "_checked"
+    while held in docs.columns:
+        held = f"_{held}"
+    return docs.withColumn(held, checked(text_of(text))).withColumns({ids: F.col(f"{held}.ids"), same: F.col(f"{held}.same")}).drop(held)
+
+
 def round_trip(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each text encoded and decoded again: ``doc_id, n_pieces, n_bytes, ids_crc32, decoded_sha256, same``.
 

@@ -85,6 +85,9 @@ def test_pieces_of_odd_rows(odd, nothing):
     assert all(r.decoded == (r.text or "").replace("▁", " ") for r in rows) and len(rows) == odd.count()
     assert all(r.piece_ids == [] for r in rows if r.doc_id in (1, 2))
     assert sentence_piece.round_trip(nothing, PIECES).count() == 0
+    checked = {r.doc_id: r for r in sentence_piece.encode_checked(odd, PIECES).collect()}
+    assert not checked[9].round_trip and all(r.round_trip for d, r in checked.items() if d != 9)
+    assert checked[7].piece_ids == LIBRARY.encode("x" * 100_000) and len(checked[8].piece_ids) > 60_000
 
 
 def test_models_that_change_texts_are_refused():
