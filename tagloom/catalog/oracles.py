@@ -359,6 +359,15 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN question_id % 2 = 0 THEN 'even' ELSE 'odd' END AS load "
             "FROM predicted WHERE question_id % 2 = 1 OR Score > 0"
         ),
+        "published_engagement": _with(
+            _engagement(),
+            *_PREPARED,
+            "users",
+            **_PREPARED_RULE,
+            tagged=f"SELECT *, decoded AS topic FROM (SELECT * FROM ({_BATCHES}) "
+            "WHERE batch_datetime_stamp <= TIMESTAMP '2023-10-23 12:00:00' "
+            "QUALIFY rank() OVER (PARTITION BY question_id ORDER BY batch_datetime_stamp DESC) = 1) WHERE decoded IS NOT NULL",
+        ),
         "published_top10_daily": _predicted(
             "SELECT day, topic, n, row_number() OVER (PARTITION BY day ORDER BY n DESC, topic) AS rank FROM ("
             "SELECT CAST(CreationDate AS DATE) AS day, decoded AS topic, count(*) AS n FROM ("

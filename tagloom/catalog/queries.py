@@ -555,13 +555,18 @@ def _two_loads_one_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 def _published(spark: SparkSession, folder: str) -> DataFrame:
     """The published table as it was after the second batch, with its topic and day."""
-    known = results.as_of(_three_batches(spark, folder), "2023-10-23 12:00:00")
-    return known.withColumns({"topic": F.col("decoded"), "day": F.col("CreationDate").cast("date")})
+    return results.topics_as_of(_three_batches(spark, folder), "2023-10-23 12:00:00")
 
 
 @_query("published_top10_daily")
 def _published_top10_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.top_topics_daily(trends.topic_daily(_published(spark, folder).filter("topic IS NOT NULL")), 10)
+    return trends.top_topics_daily(trends.topic_daily(_published(spark, folder)), 10)
+
+
+@_query("published_engagement")
+def _published_engagement(spark: SparkSession, folder: str) -> DataFrame:
+    found = trends.engagement_by_topic(_published(spark, folder), views.users(spark, folder))
+    return _rounded(found, *[name for name in found.columns if name.startswith("mean_")])
 
 
 @_query("as_of_predictions")

@@ -15,7 +15,7 @@ if __name__ == "__main__":
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.config import TrainingSettings, Zones
-from tagloom.plans import ingest_dimension, ingest_posts, publish_users, tag_load, train
+from tagloom.plans import ingest_dimension, ingest_posts, publish_users, report, tag_load, train
 from tagloom.schemas import POST_TYPES, USERS
 from tagloom.session import SETTINGS
 from tagloom.sources import JdbcTable, read_table
@@ -58,6 +58,11 @@ def _parser() -> argparse.ArgumentParser:
 
     users = jobs.add_parser("publish-users", help="replace the users table")
     users.add_argument("--batch")
+
+    reports = jobs.add_parser("report", help="show a report over the published table")
+    reports.add_argument("--name", choices=("top", "trend", "totals", "engagement"), default="top")
+    reports.add_argument("--as-of", help="the table as it was at a time")
+    reports.add_argument("--top", type=int, default=10)
     return parser
 
 
@@ -93,6 +98,8 @@ def main(argv: list[str] | None = None) -> None:
         train(spark, zones, settings).show(truncate=False)
     elif args.job == "tag":
         print(f"batch {tag_load(spark, zones, args.load, args.batch)}")
+    elif args.job == "report":
+        report(spark, zones, args.name, args.as_of, args.top).show(100, truncate=False)
     else:
         publish_users(spark, zones, args.batch)
 

@@ -51,6 +51,12 @@ def batch_history(labeled: DataFrame) -> DataFrame:
     )
 
 
+def topics_as_of(labeled: DataFrame, moment: datetime | str | None = None) -> DataFrame:
+    """The published questions with their topic and day for the reports, now or at ``moment``; untagged ones are left out."""
+    known = labeled if moment is None else as_of(labeled, moment)
+    return known.withColumns({"topic": F.col("decoded"), "day": F.col("CreationDate").cast("date")}).filter("topic IS NOT NULL")
+
+
 def as_of(labeled: DataFrame, moment: datetime | str) -> DataFrame:
     """The state at ``moment``: for each question the rows of its latest batch up to then.
 

@@ -11,7 +11,7 @@ from tagloom.config import TrainingSettings, Zones
 from tagloom.operators import results, topic_model
 from tagloom.operators.questions import prepare_questions
 from tagloom.operators.conform import SchemaMismatch
-from tagloom.plans import ingest_dimension, ingest_posts, publish_users, tag_load, train
+from tagloom.plans import ingest_dimension, ingest_posts, publish_users, report, tag_load, train
 from tagloom.plans.tag import tag_posts
 from tagloom.plans.ingest import TooManyLosses
 from tagloom.schemas import POST_TYPES, USERS
@@ -68,6 +68,18 @@ def test_tagging_is_repeatable(spark, small, lake, metrics):
     assert first.count() == history["2023-10-22 02:00:00"]
 
 
+def test_reports_read_the_published_table(spark, lake, metrics):
+    for load in LOADS:
+        tag_load(spark, lake, load, f"{load}_02")
+    publish_users(spark, lake, "2023_10_22_02")
+    table = spark.table(lake.labeled_questions)
+    assert report(spark, lake, "totals", k=1000).agg(F.sum("qty")).first()[0] == table.filter("decoded IS NOT NULL").count()
+    early = report(spark, lake, "trend", "2023-10-22 12:00:00").agg(F.sum("n")).first()[0]
+    assert early == table.filter("batch_datetime_stamp < '2023-10-22 12:00:00'").count()
+    assert report(spark, lake, "engagement").count() == report(spark, lake, "totals", k=1000).count()
+    assert report(spark, lake, "top", k=2).agg(F.max("rank")).first()[0] <= 2
+
+
 def test_tagging_is_one_stage(spark, lake, metrics):
     physical = plan(tag_posts(read_landed_posts(spark, lake.posts, LOADS[0]), lake))
     assert "Exchange hashpartitioning" not in physical and "SortMergeJoin" not in physical
