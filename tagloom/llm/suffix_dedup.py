@@ -2,13 +2,18 @@
 
 Suffixes are kept only at minimiser positions: of each ``window`` consecutive runs of
 ``seed`` words the run of smallest hash. Two equal passages of ``least`` words choose the same
-positions inside, as ``window + seed - 1 <= least``. Suffixes whose first run occurs once in
-the corpus match nothing and are dropped before any text moves. The others are sorted over the
+positions inside, as ``window + seed - 1 <= least``. Of each passage at least half stands
+on one side of such a position, so positions where neither the half after nor the half before stands
+in another document match nothing and are dropped before any text moves. The others are sorted over the
 whole cluster by the words that follow, then by the words that precede; each is compared
 with its neighbours of other documents to the right and extended to the left, and
 spans of at least ``least`` words are joined per document. A span that several minimisers
 cover is as long as the passage, as contexts reach ``least`` words to either side.
 
+Neighbours are told by what follows, so a passage that ends in words of many documents may have
+its holders sorted apart. All windows of ``least`` words that hold a kept position are therefore hashed
+too and met with those of other documents; so no passage depends on who its neighbours are.
+
 Texts are cut at ASCII white space; words are compared by 32-bit hashes of which a span needs
 ``least`` to agree. Equal texts take part once: the smallest id stands for its copies, which get
 the whole text as a span if it is long enough. Null, empty and short texts have no spans. Rows
@@ -61,50 +66,102 @@ def minimisers(words: np.ndarray, seed: int, window: int) -> tuple[np.ndarray, n
     return places, runs[places]
 
 
+def rolling(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of ``n`` words, put together from runs of powers of two."""
+    if len(words) < n:
+        return np.zeros(0, np.uint64)
+    runs, length, power = words, 1, np.full(1, MIX)
+    out, done = np.zeros(len(words) + 1, np.uint64), 0
+    while True:
+        if n & length:
+            fits = len(words) - done - length + 1
+            out = out[:fits] * power + runs[done : done + fits]
+            done += length
+        if done == n:
+            break
+        runs = runs[: len(runs) - length] * power + runs[length:]
+        length, power = 2 * length, power * power
+    out ^= out >> np.uint64(29)
+    return out * MIX
+
+
+def halves(least: int, seed: int) -> tuple[int, int]:
+    """Words from a position on, and words up to the end of its seed: every passage that holds the seed has one of both."""
+    most = (least - seed) // 2
+    return least - most, min(least, most + 1 + seed)
+
+
 def _batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-SEEDS = pa.schema([("row", pa.int64()), ("pos", pa.int32()), ("h", pa.int64())])
-SUFFIXES = pa.schema([("row", pa.int64()), ("pos", pa.int32()), ("after", pa.binary()), ("before", pa.binary())])
+SEEDS = pa.schema([("row", pa.int64()), ("place", pa.int64()), ("h", pa.int64())])
+SUFFIXES = pa.schema([("row", pa.int64()), ("pos", pa.int32()), ("after", pa.binary()), ("before", pa.binary()), ("starts", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))])
 SPANS = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("partner", pa.int64()), ("edge", pa.int32()), ("pos", pa.int32()), ("after", pa.binary()), ("before", pa.binary())])
 
 
-def _seeds(texts: DataFrame, seed: int, window: int) -> DataFrame:
-    """``row, pos, h`` of the minimisers of each text."""
+def _seeds(texts: DataFrame, least: int, seed: int) -> DataFrame:
+    """``row, place, h`` of the halves at the minimisers of each text; ``place`` is twice the position, and one more for the half before."""
+    forward, backward = halves(least, seed)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                rows, places, hashes = [], [], []
+                rows, places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 part = batch.slice(at, 512)
                 for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist()):
-                    found, h = minimisers(word_hashes(text), seed, window)
-                    rows.append(np.full(len(found), row, np.int64))
-                    places.append(found.astype(np.int32))
-                    hashes.append(h.view(np.int64))
+                    words = word_hashes(text)
+                    if len(words) < least:
+                        continue
+                    found, _ = minimisers(words, seed, least - seed + 1)
+                    for side, length, first in ((0, forward, found), (1, backward, found + seed - backward)):
+                        there = (first >= 0) & (first + length <= len(words))
+                        places.append(2 * found[there] + side)
+                        hashes.append(rolling(words, length)[first[there]].view(np.int64))
+                        rows.append(np.full(len(places[-1]), row, np.int64))
                 yield _batch(SEEDS, [np.concatenate(x) for x in (rows, places, hashes)])
 
-    return texts.select("row", "text").mapInArrow(cut, "row long, pos int, h long")
+    return texts.select("row", "text").mapInArrow(cut, "row long, place long, h long")
+
 
+def _suffixes(texts: DataFrame, least: int, seed: int) -> DataFrame:
+    """``row, pos, after, before, starts, hashes``: the words from each kept position on, and those before it from the nearest.
 
-def _suffixes(texts: DataFrame, reach: int) -> DataFrame:
-    """``row, pos, after, before``: the words from each kept position on, and those before it from the nearest."""
+    ``starts`` and ``hashes`` are the windows of ``least`` words that hold the position with a
+    half that was kept and start after those of the position before.
+    """
+    most = least - halves(least, seed)[0]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                part, out = batch.slice(at, 64), ([], [], [], [])
+                part, out = batch.slice(at, 64), ([], [], [], [], [], [])
                 for row, text, places in zip(*(part.column(c).to_pylist() for c in ("row", "text", "places"))):
-                    words = (word_hashes(text) >> np.uint64(32)).astype(">u4")
+                    hashed = word_hashes(text)
+                    words = (hashed >> np.uint64(32)).astype(">u4")
                     backward = words[::-1].copy()
-                    for p in sorted(places):
+                    windows = rolling(hashed, least).view(np.int64)
+                    held = np.zeros(len(windows), bool)
+                    for place in places:
+                        p = place >> 1
+                        low, high = (p - least + seed, p - most) if place & 1 else (p - most, p + 1)
+                        held[max(0, low) : max(0, high)] = True
+                    starts, kept = np.flatnonzero(held), sorted({place >> 1 for place in places})
+                    for p, mine in zip(kept, np.split(starts, np.searchsorted(starts, kept, "right"))):
                         q = len(words) - p
-                        for column, value in zip(out, (row, p, words[p : p + reach].tobytes(), backward[q : q + reach].tobytes())):
+                        for column, value in zip(out, (row, p, words[p : p + least].tobytes(), backward[q : q + least].tobytes(), mine.astype(np.int32), windows[mine])):
                             column.append(value)
                 yield _batch(SUFFIXES, list(out))
 
-    return texts.select("row", "text", "places").mapInArrow(cut, "row long, pos int, after binary, before binary")
+    return texts.select("row", "text", "places").mapInArrow(cut, "row long, pos int, after binary, before binary, starts array<int>, hashes array<long>")
+
+
+def _shared_windows(suffixes: DataFrame, least: int) -> DataFrame:
+    """``row, first, last, partner`` of each window that another document holds too."""
+    windows = suffixes.select("row", F.inline(F.arrays_zip(F.col("starts").alias("first"), F.col("hashes").alias("h"))))
+    holders = windows.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high").withColumnRenamed("h", "again")
+    partner = F.when(F.col("row") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    return windows.join(staged(holders, "shared-windows"), F.col("h") == F.col("again")).select("row", "first", (F.col("first") + least).cast("int").alias("last"), partner.alias("partner"))
 
 
 def _matrix(contexts: list[bytes], reach: int) -> np.ndarray:
@@ -196,8 +253,7 @@ def _spans(sorted_suffixes: DataFrame, reach: int, least: int) -> DataFrame:
 
 def find_repeats(docs: DataFrame, least: int = LEAST, seed: int = SEED, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, start, end, partner``: spans of words that stand in another document too, and the smallest id seen there."""
-    window = least - seed + 1
-    if window < 1:
+    if least < seed:
         raise ValueError("a passage must be longer than a seed")
     slim = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     n_words = F.size(F.regexp_extract_all(F.col("text"), F.lit(r"[^ \t-\r]+"), F.lit(0)))
@@ -215,15 +271,15 @@ def find_repeats(docs: DataFrame, least: int = LEAST, seed: int = SEED, doc_id:
         "doc_id", "key", F.lit(0).alias("start"), F.col("n_words").alias("end"), F.when(F.col("doc_id") != F.col("stands"), F.col("stands")).otherwise(F.col("ends")[1]).alias("partner")
     )
     texts = keep_one(slim, members.select("doc_id", "key", "group"), largest=False).select(F.xxhash64("doc_id", "text").alias("row"), "text")
-    seeds = staged(_seeds(texts, seed, window), "seeds")
-    repeated = staged(seeds.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("h").alias("again")), "repeated-seeds")
-    kept = staged(seeds.join(repeated, F.col("h") == F.col("again"), "left_semi").groupBy(F.col("row").alias("r")).agg(F.collect_list("pos").alias("places")), "kept-positions")
-    suffixes = _suffixes(texts.join(kept, F.col("row") == F.col("r")), least)
-    ordered = staged(suffixes, "suffixes").repartitionByRange("after", "before", "row", "pos").sortWithinPartitions("after", "before", "row", "pos")
+    seeds = staged(_seeds(texts, least, seed), "seeds")
+    repeated = staged(seeds.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high").select(F.col("h").alias("again")), "repeated-seeds")
+    kept = staged(seeds.join(repeated, F.col("h") == F.col("again"), "left_semi").groupBy(F.col("row").alias("r")).agg(F.collect_list("place").alias("places")), "kept-positions")
+    suffixes = staged(_suffixes(texts.join(kept, F.col("row") == F.col("r")), least, seed), "suffixes")
+    ordered = suffixes.select("row", "pos", "after", "before").repartitionByRange("after", "before", "row", "pos").sortWithinPartitions("after", "before", "row", "pos")
     found = staged(_spans(ordered, least, least), "spans")
     borders = found.filter("edge IS NOT NULL").select("row", "pos", "after", "before", "edge").coalesce(1).sortWithinPartitions("edge").drop("edge")
     across = _spans(borders, least, least).filter("edge IS NULL")
-    spans = found.filter("edge IS NULL").unionByName(across).select("row", "first", "last", "partner").distinct()
+    spans = found.filter("edge IS NULL").unionByName(across).select("row", "first", "last", "partner").distinct().unionByName(_shared_windows(suffixes, least))
     # Overlapping spans of a document become one.
     earlier = Window.partitionBy("row").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("row").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, Window.currentRow)

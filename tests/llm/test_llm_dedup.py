@@ -201,6 +201,34 @@ def test_a_passage_in_very_many_documents(spark, make):
     assert {(r.doc_id, r.start, r.end) for r in got} == repeats(texts, 50)
 
 
+def test_rolling_hashes_tell_runs():
+    words = np.array([suffix_dedup.word_hashes(w)[0] for w in "a b c a b c a b d".split()])
+    for n in range(1, 10):
+        runs = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+        hashes = suffix_dedup.rolling(words, n).tolist()
+        assert len(hashes) == len(runs) and all((runs[i] == runs[j]) == (hashes[i] == hashes[j]) for i, j in combinations(range(len(runs)), 2))
+    assert len(suffix_dedup.rolling(words, 10)) == 0
+
+
+@pytest.mark.parametrize("own, line", [(15, 45), (10, 49), (25, 45), (1, 49)])
+def test_passages_that_end_in_words_of_many_documents(spark, make, own, line):
+    rng = np.random.default_rng(own)
+
+    def some(tag, least=1):
+        return " ".join(f"{tag}x{k}" for k in range(int(rng.integers(least, 40))))
+
+    boilerplate = " ".join(f"f{i}" for i in range(line))
+    texts = {i: f"{some(f'u{i}')} {boilerplate} {some(f'v{i}')}" for i in range(300)}
+    for pair in range(10):
+        passage = " ".join(f"o{pair}x{k}" for k in range(own)) + " " + boilerplate
+        texts |= {1000 + 2 * pair + i: f"{some(f'l{pair}y{i}')} {passage} {some(f'r{pair}y{i}')}" for i in (0, 1)}
+        texts |= {2000 + 2 * pair + i: f"{some(f'm{pair}y{i}')} {boilerplate} {' '.join(f'q{pair}x{k}' for k in range(own))} {some(f's{pair}y{i}')}" for i in (0, 1)}
+    got = suffix_dedup.find_repeats(make(list(texts.items()))).collect()
+    want = repeats(texts, 50)
+    assert len(want) >= 40 and {(r.doc_id, r.start, r.end) for r in got} == want
+    assert all(r.partner != r.doc_id and r.partner in texts for r in got)
+
+
 def test_repeats_of_odd_rows(make, odd, nothing):
     long = " ".join(f"w{i}" for i in range(60))
     docs = make([(1, long), (1, long), (2, long), (3, None), (None, long + " end")])
