@@ -3,6 +3,7 @@
 Such a tokenizer cuts a text into pieces before it merges, and always cuts before white
 space that follows something else. A text may therefore be cut there into units, each of
 which the library encodes once while it is remembered. A tokenizer of another kind gets whole texts.
+Added tokens, such as the end of a text, are ids of their own wherever a text holds them, as in the library.
 """
 
 from __future__ import annotations
@@ -99,7 +100,6 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         kind = json.loads(self.tokenizer.to_str())
         before = kind["pre_tokenizer"] or {}
@@ -107,6 +107,10 @@ class ByteBpe:
             kind["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
             and not kind["truncation"] and not kind["padding"]
         )
+        added = sorted(kind["added_tokens"], key=lambda t: -len(t["content"]))
+        self.added = re.compile("(" + "|".join(re.escape(t["content"]) for t in added) + ")") if added else None
+        #: Added tokens that take no notice of what stands beside them part a text into texts of their own.
+        self.parts = not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
         self.model = self.tokenizer.model
         self.anywhere = Units(self._whole, remembered)
         self.after_space = Units(self._after_space, remembered)
@@ -130,6 +134,12 @@ class ByteBpe:
         """The ids as little-endian numbers of ``dtype``."""
         if not self.by_unit:
             return self._whole(text)
+        if self.added and self.added.search(text):
+            return b"".join(self._whole(t) if i % 2 else self._apart(t) for i, t in enumerate(self.added.split(text))) if self.parts else self._whole(text)
+        return self._apart(text)
+
+    def _apart(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
         if not text:
             return b""
         if len(text) >= PIECEMEAL or not evenly_spaced(text) or OTHER_WHITE.search(text):

@@ -102,6 +102,26 @@ def test_byte_ids_equal_the_library(text):
     assert np.frombuffer(BPE.encode(text), BPE.dtype).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+LOADED = Tokenizer.from_file(BYTES)
+MARK = "<|endoftext|>"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.just(MARK), st.sampled_from(["<|endoftext", "|>", " ", "\n", "a"]), ALPHABET), max_size=8).map("".join))
+def test_byte_ids_of_added_tokens_equal_the_library_as_loaded(text):
+    assert np.frombuffer(BPE.encode(text), BPE.dtype).tolist() == LOADED.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_counts_and_shards(spark, make):
+    texts = [f"a {MARK} b", f"{MARK}{MARK}", f" {MARK}\n\nword {MARK[:-1]}", "later words"]
+    docs, ids = make(list(enumerate(texts))), [LOADED.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in ids[0]
+    assert {r.n_tokens: r.docs for r in token_counts.histogram(docs, BYTES).collect()} == {n: sum(len(i) == n for i in ids) for n in map(len, ids)}
+    got = token_shards.read_shards(token_shards.write_shards(docs, scratch(spark, "test-shards"), BYTES)).orderBy("doc_id").collect()
+    starts = np.cumsum([0] + [len(i) + 1 for i in ids]).tolist()
+    assert [tuple(r) for r in got] == [(d, starts[d], len(i) + 1, zlib.crc32(np.array([*i, 0], "<u4").tobytes())) for d, i in enumerate(ids)]
+
+
 def test_units_forget_and_give_the_same():
     made = []
     units = Units(lambda u: made.append(u) or u.upper(), limit=2)
