@@ -7,6 +7,10 @@ least a share of its windows stand there, on alignments whose slots are consiste
 of the item always becomes the same value of the document, and different values stay
 different. So a question asked again with other numbers or names is found.
 
+Capitals tell names, but a copy may be written in other case or begin after a colon. Each window
+is therefore hashed in up to three ways, any of which may agree: with its names as placeholders,
+with its names as lower-cased words, and with only its first word lower-cased.
+
 A number is a run of digits with inner points or commas; a unit is a word of a fixed list
 after a number; a name is a word that starts with a capital, has small letters and does
 not begin a sentence. Null texts count as empty; empty texts and items with fewer words than a window
@@ -16,6 +20,8 @@ id and text. Other columns are not looked at. Everything runs in Spark's express
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,30 +75,52 @@ def _template(words: Column) -> Column:
     return F.transform(words, one)
 
 
-def hashes(words: Column) -> Column:
-    """A hash for each word of the template of some pieces."""
-    return F.transform(F.array_compact(_template(words)), lambda t: F.xxhash64(t))
+def slots(words: Column) -> Column:
+    """Template and value as written of the pieces that are no sentence ends."""
+    both = F.arrays_zip(_template(words).alias("template"), words.alias("value"))
+    return F.filter(both, lambda w: w["template"].isNotNull())
 
 
-def windows(words: Column, n: int) -> Column:
-    """A hash for each window of ``n`` word hashes, in order."""
-    return F.when(
-        F.size(words) >= n,
-        F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)])),
-    )
+def hashes(words: Column, exact: bool = False) -> Column:
+    """Hashes for each of some slots: of the template, of the word where that is a name, and of the value if wanted."""
 
+    def one(w: Column) -> Column:
+        plain = F.when(w["template"] == NAME, F.lower(w["value"])).otherwise(w["template"])
+        values = [F.xxhash64(F.lower(w["value"])).alias("value")] if exact else []
+        return F.struct(F.xxhash64(w["template"]).alias("template"), F.xxhash64(plain).alias("plain"), *values)
 
-def slots(words: Column) -> Column:
-    """The pieces in the positions of ``hashes``: template and value as written."""
-    both = F.arrays_zip(_template(words).alias("template"), words.alias("value"))
-    return F.filter(both, lambda w: w["template"].isNotNull())
+    return F.transform(words, one)
+
+
+def windows(words: Column, n: int, short: bool = False) -> Column:
+    """Places and hashes of each window of ``n`` words, in order; of short ones also those of their values."""
+
+    def told(*parts: Column) -> Column:
+        made = F.xxhash64(*parts)
+        return F.when(sum((~p.isin(*[F.xxhash64(F.lit(x)) for x in (NUMBER, NAME, UNIT)])).cast("int") for p in parts) >= 2, made) if short else made
 
+    def one(i: Column) -> Column:
+        template, plain = ([F.get(words, i + k)[x] for k in range(n)] for x in ("template", "plain"))
+        values = [F.xxhash64(F.lit("value"), *[F.get(words, i + k)["value"] for k in range(n)])] if short else []
+        ways = F.array_distinct(F.array_compact(F.array(told(*template), told(*plain), told(plain[0], *template[1:]), *values)))
+        return F.transform(ways, lambda h: F.struct(i.alias("pos"), h.alias("h")))
 
-def _windowed(rows: DataFrame, n: int, *keep: str) -> DataFrame:
-    """One row per window: its place and hash. Each step is a column, so that no array is made twice."""
-    cut = rows.select(*keep, pieces(F.col("text")).alias("pieces"))
-    hashed = cut.select(*keep, hashes(F.col("pieces")).alias("words"))
-    return hashed.select(*keep, F.posexplode(windows(F.col("words"), n)).alias("pos", "h"))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(words) - n), one))
+
+
+def _windowed(rows: DataFrame, n: int, *keep: str, short: Iterable[int] = (), whole: bool = False) -> DataFrame:
+    """One row per window and hash: ``pos, h``. Each step is a column, so that no array is made twice.
+
+    ``short`` are lengths of further windows; with ``whole`` only texts of just that length have them.
+    """
+    short = list(short)
+    cut = rows.select(*keep, pieces(F.col("text")).alias("pieces")).select(*keep, slots(F.col("pieces")).alias("slots"))
+    hashed = cut.select(*keep, hashes(F.col("slots"), bool(short)).alias("words"))
+    size, words = F.size("words"), F.col("words")
+    none = F.expr("cast(array() as array<struct<pos:int,h:bigint>>)")
+    ways = [F.when(size >= n, windows(words, n)).otherwise(none)]
+    ways += [F.when(size == k if whole else size >= k, windows(words, k, True)).otherwise(none) for k in short]
+    return hashed.select(*keep, F.inline(F.concat(*ways) if short else ways[0]))
 
 
 def _slotted(rows: DataFrame, *keep: str) -> DataFrame:
@@ -117,7 +145,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_sha
         .groupBy("doc_id", "key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .agg(F.collect_set("item_pos").alias("at"))
     )
-    sizes = item_windows.groupBy("item_id", "item_key").agg(F.count(F.lit(1)).alias("windows"))
+    sizes = item_windows.groupBy("item_id", "item_key").agg((F.max("pos") + 1).cast("long").alias("windows"))
     slotted = _slotted(items, "item_id", "item_key").select(
         "item_id", "item_key",
         F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w["template"].alias("template"), w["value"].alias("value"))), lambda w: w["template"].isin(NUMBER, NAME, UNIT)).alias("slots"),

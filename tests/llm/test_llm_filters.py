@@ -141,6 +141,19 @@ def test_leaks_of_odd_rows(spark, odd, nothing, make):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+NAMED = "When Anna met Omar in Lisbon, Maria gave Peter 3 books that Oscar wrote."
+
+
+def test_copies_in_other_case_are_found(spark, make):
+    docs = make([
+        (1, f"before. {NAMED.lower()} after"), (2, NAMED.upper()), (3, "So: " + NAMED.title()), (4, NAMED.lower().replace("3", "17")),
+        (5, NAMED.replace("Maria", "Helen")), (6, NAMED.replace("Omar", "Anna")), (7, "when anna met nobody in lisbon, nothing came of it at all."),
+    ])
+    assert leaks(docs, spark, [(1, NAMED)]) == {(1, 1): False, (2, 1): False, (3, 1): False, (4, 1): True, (5, 1): True}
+    bench = spark.createDataFrame([(1, NAMED)], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == {6, 7}
+
+
 def test_template_steps_are_not_repeated_per_word(spark, make):
     frame = decontaminate._windowed(make([(1, "a b c d e f")]).select("doc_id", "text"), 5, "doc_id")
     text = plan(frame)
