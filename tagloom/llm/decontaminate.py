@@ -10,11 +10,13 @@ different. So a question asked again with other numbers or names is found.
 Capitals tell names, but a copy may be written in other case or begin after a colon. Each window
 is therefore hashed in up to three ways, any of which may agree: with its names as placeholders,
 with its names as lower-cased words, and with only its first word lower-cased.
+An item of fewer words than a window is one window of its own length, which documents are then
+cut to as well. It must stand there with its values as written, in any case; other values
+count only where at least two of its words are no placeholders, as ``in <number>`` tells nothing.
 
 A number is a run of digits with inner points or commas; a unit is a word of a fixed list
 after a number; a name is a word that starts with a capital, has small letters and does
-not begin a sentence. Null texts count as empty; empty texts and items with fewer words than a window
-match nothing. Rows of documents that repeat are one document, as are items that repeat
+not begin a sentence. Null texts count as empty; empty texts match nothing. Rows of documents that repeat are one document, as are items that repeat
 id and text. Other columns are not looked at. Everything runs in Spark's expressions.
 """
 
@@ -134,10 +136,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_sha
     ``changed`` tells that slots have other values than in the benchmark.
     """
     items = staged(benchmark.select(F.col(item_id).alias("item_id"), row_key(text).alias("item_key"), text_of(text).alias("text")).distinct(), "items")
-    item_windows = staged(_windowed(items, n, "item_id", "item_key"), "item-windows")
+    # Items of fewer words than a window, and how many words these have.
+    sizes = _slotted(items, "item_id").select(F.size("words").alias("size")).filter(F.col("size").between(1, n - 1)).distinct().collect()
+    short = sorted(r.size for r in sizes)
+    item_windows = staged(_windowed(items, n, "item_id", "item_key", short=short, whole=True), "item-windows")
     known = staged(item_windows.groupBy("h").agg(F.count(F.lit(1)).alias("items")), "window-hashes", item_windows.count())
     rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(text).alias("key"), text_of(text).alias("text"))
-    found = staged(_windowed(rows, n, "doc_id", "key").join(small(known.select("h"), known.count()), "h").distinct(), "found-windows")
+    found = staged(_windowed(rows, n, "doc_id", "key", short=short).join(small(known.select("h"), known.count()), "h").distinct(), "found-windows")
     rows_found = found.count()
     # The windows of one alignment of a document with an item.
     aligned = (

@@ -154,6 +154,17 @@ def test_copies_in_other_case_are_found(spark, make):
     assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == {6, 7}
 
 
+def test_short_items_are_found(spark, make):
+    items = [(1, "What is 2 + 2?"), (2, "What is the capital of France?"), (3, "in 1990"), (4, "Oxygen"), (5, "What does Anna eat daily?")]
+    docs = make([
+        (1, "He asked: What is 2 + 2? Nobody knew."), (2, "WHAT IS 2 + 2"), (3, "and then, what is 3 + 3?"), (4, "what is 2 + 3?"),
+        (11, "Question: What is the capital of France?"), (12, '"What is the capital of Spain"'), (13, "Geography\nWhat is the capital of France"),
+        (21, "that was In 1990."), (22, "that was in 1991"), (31, "of oxygen there is much"), (41, "Say: What does Maria eat daily?"), (51, "What is this"),
+    ])
+    want = {(1, 1): False, (2, 1): False, (3, 1): True, (11, 2): False, (12, 2): True, (13, 2): False, (21, 3): False, (31, 4): False, (41, 5): True}
+    assert leaks(docs, spark, items) == want
+
+
 def test_template_steps_are_not_repeated_per_word(spark, make):
     frame = decontaminate._windowed(make([(1, "a b c d e f")]).select("doc_id", "text"), 5, "doc_id")
     text = plan(frame)
