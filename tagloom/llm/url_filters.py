@@ -3,7 +3,8 @@
 List entries are dated additions and removals of patterns. They become intervals in which a
 pattern is listed, and each capture is judged by the entries active when it was fetched,
 not by today's list. A pattern is a host (``example.com`` also covers its subdomains) or a
-host with the start of a path. A capture meets an entry on an equal pattern and month, for
+host with the start of a path. Its host is compared as a URL's is, in any case and without
+``www.``; its path as written. A capture meets an entry on an equal pattern and month, for
 which intervals are cut into months: both sides stay as wide as they are, whatever the number
 of changes of a pattern.
 
@@ -40,11 +41,17 @@ def patterns_of(host: Column, path: Column) -> Column:
     return F.when(host != "", F.array_distinct(F.concat(domains, F.coalesce(starts, F.array().cast("array<string>")))))
 
 
+def listed_pattern(pattern: Column) -> Column:
+    """A pattern with its host as ``host`` gives it, and its path as written."""
+    place = F.regexp_replace(F.lower(F.regexp_extract(pattern, r"^[^/]*", 0)), r"^www\.|\.$", "")
+    return F.concat(place, F.regexp_extract(pattern, r"(?s)^[^/]*(.*)$", 1))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """``list, pattern, valid_from, valid_to`` (exclusive) from ``list, pattern, action, date``."""
     clean = entries.filter(F.col("pattern").isNotNull() & F.col("date").isNotNull() & F.col("action").isin("add", "remove"))
     # Per day one action, the removal if there are both; per run of equal actions its first day.
-    daily = clean.groupBy("list", F.lower("pattern").alias("pattern"), F.col("date").cast("date").alias("date")).agg(F.max("action").alias("action"))
+    daily = clean.groupBy("list", listed_pattern(F.col("pattern")).alias("pattern"), F.col("date").cast("date").alias("date")).agg(F.max("action").alias("action"))
     by_date = Window.partitionBy("list", "pattern").orderBy("date")
     changes = daily.withColumn("before", F.lag("action").over(by_date)).filter(~F.col("action").eqNullSafe(F.col("before")))
     dated = changes.withColumn("valid_to", F.coalesce(F.lead("date").over(by_date), F.to_date(F.lit(FOREVER))))

@@ -197,6 +197,14 @@ def test_captures_are_judged_by_the_list_of_their_day(spark):
     assert got[5].listed_since == date(2024, 5, 1) and got[5].pattern == "bad.example.com"
 
 
+def test_patterns_are_compared_as_urls_are(spark):
+    day = date(2024, 1, 1)
+    entries = [("block", p, "add", day) for p in ("Example.com/Path", "www.Host.org", "WWW.both.net/A/b", "plain.com")]
+    urls = ["http://example.com/Path", "http://example.com/path", "https://www.host.org/x", "http://sub.host.org/", "http://www.both.net/A/b/c", "http://both.net/a/b", "http://PLAIN.com/", "http://wwwplain.com/"]
+    got = judged(spark, [(i, u, day) for i, u in enumerate(urls)], entries)
+    assert {i for i, r in got.items() if r.blocked} == {0, 2, 3, 4, 6}
+
+
 def test_url_filters_of_empty_tables(spark):
     assert judged(spark, [], [("block", "a.com", "add", date(2024, 1, 1))]) == {}
     assert not judged(spark, [(1, "http://a.com/", date(2024, 1, 1))], [])[1].blocked
