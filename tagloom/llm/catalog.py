@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import decontaminate, divergence, exact_dedup, oracles, pii, sentence_piece, simhash, suffix_dedup, token_counts, token_shards, toxicity, url_filters
+from tagloom.llm import collocations, decontaminate, divergence, exact_dedup, oracles, pii, sentence_piece, simhash, suffix_dedup, token_counts, token_shards, toxicity, url_filters
 from tagloom.llm.frames import documents, ship
 from tagloom.session import scratch
 
@@ -104,6 +104,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words keep company."""
+    return collocations.collocations(documents(spark, sf_dir), stored=True)
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +121,7 @@ def _shipped(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: _shipped(f)
-        for f in (op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_decontaminate, op5_token_counts, op6_token_shards, op7_suffix_dedup, op8_url_filters, op9_pii, op10_simhash, op12_divergence)
+        for f in (op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_decontaminate, op5_token_counts, op6_token_shards, op7_suffix_dedup, op8_url_filters, op9_pii, op10_simhash, op12_divergence, op13_collocations)
     }
 
 
@@ -159,4 +164,5 @@ def oracle_sql() -> dict[str, str]:
             FROM captures c LEFT JOIN best b USING (page_id)
         """,
         "op12_divergence": oracles.DIVERGENCE,
+        "op13_collocations": oracles.COLLOCATIONS,
     }

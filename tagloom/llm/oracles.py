@@ -34,3 +34,34 @@ WITH rows AS (
 SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM found
 QUALIFY part = 'pair' OR rank <= 50
 """
+
+COLLOCATIONS = r"""
+WITH rows AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM rows
+), starts AS (
+    SELECT lang, words, unnest(generate_series(1, len(words))) AS i FROM pieces WHERE len(words) > 0
+), grams AS (
+    SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, words[i : i + size - 1] AS parts
+    FROM starts, (SELECT unnest(generate_series(1, 5)) AS size) WHERE i + size - 1 <= len(words)
+), totals AS (
+    SELECT lang, count(*)::HUGEINT AS n FROM grams WHERE size = 1 GROUP BY lang
+), found AS (
+    SELECT lang, size, phrase, any_value(parts) AS parts, count(*)::HUGEINT AS f FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 100
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, k, array_to_string(parts[1 : k], ' ') AS head, array_to_string(parts[k + 1 : size], ' ') AS tail
+    FROM found c, (SELECT unnest(generate_series(1, 4)) AS k) WHERE size > 1 AND k < size
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, 1000 * c.a * t.n // (x.f * y.f) AS score
+    FROM cuts c JOIN found x ON x.lang = c.lang AND x.phrase = c.head JOIN found y ON y.lang = c.lang AND y.phrase = c.tail JOIN totals t ON t.lang = c.lang
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT c.lang, array_to_string(parts[i : i + s - 1], ' ') AS phrase, max(f) AS longer
+    FROM found c, (SELECT unnest(generate_series(2, 4)) AS s), (SELECT unnest(generate_series(1, 4)) AS i) WHERE s < size AND i + s - 1 <= size GROUP BY ALL
+)
+SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank, c.phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM scored c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase WHERE i.longer IS NULL OR 100 * i.longer < 100 * a
+QUALIFY rank <= 2000
+"""
