@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import collocations, decontaminate, divergence, exact_dedup, oracles, pii, sentence_piece, simhash, suffix_dedup, token_counts, token_shards, toxicity, url_filters
+from tagloom.llm import collocations, decontaminate, divergence, exact_dedup, jaccard, oracles, pii, sentence_piece, simhash, suffix_dedup, token_counts, token_shards, toxicity, url_filters
 from tagloom.llm.frames import documents, ship
 from tagloom.session import scratch
 
@@ -99,6 +99,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and component of every document."""
+    return jaccard.similar_documents(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of a language lie apart, and the terms in which each stands out."""
     return divergence.audit(documents(spark, sf_dir))
@@ -121,7 +126,7 @@ def _shipped(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: _shipped(f)
-        for f in (op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_decontaminate, op5_token_counts, op6_token_shards, op7_suffix_dedup, op8_url_filters, op9_pii, op10_simhash, op12_divergence, op13_collocations)
+        for f in (op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_decontaminate, op5_token_counts, op6_token_shards, op7_suffix_dedup, op8_url_filters, op9_pii, op10_simhash, op11_jaccard, op12_divergence, op13_collocations)
     }
 
 
@@ -163,6 +168,7 @@ def oracle_sql() -> dict[str, str]:
                    b.list, b.pattern, b.listed_since::VARCHAR AS listed_since
             FROM captures c LEFT JOIN best b USING (page_id)
         """,
+        "op11_jaccard": oracles.JACCARD,
         "op12_divergence": oracles.DIVERGENCE,
         "op13_collocations": oracles.COLLOCATIONS,
     }

@@ -65,3 +65,23 @@ SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DES
 FROM scored c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase WHERE i.longer IS NULL OR 100 * i.longer < 100 * a
 QUALIFY rank <= 2000
 """
+
+JACCARD = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(list_transform(generate_series(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i : i + 3], ' '))) AS s FROM words WHERE len(w) > 0
+), tokens AS (
+    SELECT doc_id, unnest(s) AS token FROM sets
+), shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS inter FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT u, v FROM shared JOIN sets a ON a.doc_id = u JOIN sets b ON b.doc_id = v WHERE 100 * inter >= 85 * (len(a.s) + len(b.s) - inter)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, l.v FROM reached r JOIN links l ON l.u = r.other
+)
+SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, r.component_id
+FROM documents d JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON r.doc_id = d.doc_id LEFT JOIN sets s ON s.doc_id = d.doc_id
+"""
