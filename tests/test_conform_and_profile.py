@@ -66,7 +66,7 @@ def test_merge_versions_fills_with_null(spark):
 
 
 def test_stored_tables_have_the_agreed_width():
-    assert [len(schema) for schema in (POSTS, USERS, LABELED_QUESTIONS, USERS_DIM)] == [17, 12, 19, 12]
+    assert [len(schema) for schema in (POSTS, USERS, LABELED_QUESTIONS, USERS_DIM)] == [17, 12, 20, 12]
     assert all(field.nullable for schema in (POSTS, USERS, LABELED_QUESTIONS, USERS_DIM) for field in schema)
 
 
