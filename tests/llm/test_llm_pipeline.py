@@ -12,7 +12,7 @@ from tagloom.llm import catalog
 
 def test_registered_queries():
     names = set(entry.queries())
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} == {f"{x.split('_')[0]}_" for x in catalog.queries()}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} == {f"{x.split('_')[0]}_" for x in catalog.queries()}
     assert set(catalog.oracle_sql()) <= names and corpus_pipeline.ORACLE_SQL is None
 
 
