@@ -7,23 +7,23 @@ least a share of its windows stand there, on alignments whose slots are consiste
 of the item always becomes the same value of the document, and different values stay
 different. So a question asked again with other numbers or names is found.
 
-Capitals tell names, but a copy may be written in other case or begin after a colon. Each window
-is therefore hashed in up to three ways, any of which may agree: with its names as placeholders,
-with its names as lower-cased words, and with only its first word lower-cased.
-An item of fewer words than a window is one window of its own length, which documents are then
-cut to as well. It must stand there with its values as written, in any case; other values
-count only where at least two of its words are no placeholders, as ``in <number>`` tells nothing.
-
-A number is a run of digits with inner points or commas; a unit is a word of a fixed list
-after a number; a name is a word that starts with a capital, has small letters and does
-not begin a sentence. Null texts count as empty; empty texts match nothing. Rows of documents that repeat are one document, as are items that repeat
+A text is read in two ways, and an item may be found in either:
+
+* by names: words that begin with a capital are a name, several of them beside each other one name, at the
+  beginning of a sentence too. There ``Anna has``, ``Bob Smith has`` and ``The boy has`` differ in the value of a slot only;
+* in any case: all words as lower-cased words, so that a copy in other case is found.
+
+A number is a run of digits with inner points or commas, digit groups parted by blanks, or a number word; a unit is a
+word of a fixed list after a number. An item of fewer words than a window, in one of these ways, is one window of its
+own length, which documents are then cut to as well. It needs at least two words that are no placeholders, as
+``in <number>`` tells nothing; an item that is short in any case is also compared with its values as written.
+
+Null texts count as empty; empty texts match nothing, and so do empty tables. Rows of documents that repeat are one document, as are items that repeat
 id and text. Other columns are not looked at. Everything runs in Spark's expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,168 +32,219 @@ from tagloom.llm.frames import BROADCAST_ROWS, row_key, small, staged, text_of
 #: Words per window, and the share of an item's windows that a document must hold.
 WINDOW = 5
 LEAST_SHARE = 0.8
+#: Words that are no placeholders, which a window of fewer words needs.
+TELLING = 2
 
-# Words that are units when they follow a number.
+# Words that are units when they follow a number, and words that are numbers.
 UNITS = (
     "mm cm m km in ft yd mi mg g kg lb lbs oz ml l gal s sec secs second seconds min mins minute minutes h hr hrs hour hours day days "
     "week weeks month months year years meter meters metre metres kilometer kilometers inch inches foot feet mile miles gram grams "
     "kilogram kilograms pound pounds ounce ounces liter liters litre litres dollar dollars euro euros cent cents percent degrees mph kmh w kw"
 ).split()
+NUMBERS = (
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen"
+).split()
 
-PIECE = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*+|[.!?]+"
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+DIGITS = r"[0-9]+(?:[.,][0-9]+)*+(?: [0-9]+(?:[.,][0-9]+)*+)*+"
+#: The ways to read a text: pieces by names, pieces in any case, and these as written.
+BY_NAMES, ANY_CASE, AS_WRITTEN = range(3)
+PIECES = {
+    BY_NAMES: r"\p{Lu}[\p{L}\p{M}]*+(?: \p{Lu}[\p{L}\p{M}]*+)*+|[\p{L}\p{M}]++|" + DIGITS,
+    ANY_CASE: r"[\p{L}\p{M}]++|" + DIGITS,
+}
 
 
-# Pieces start with a letter, a digit or a mark, so that comparing tells which: marks lie before "0" and between "9" and "A".
 def _is_number(piece: Column) -> Column:
-    return (piece >= "0") & (piece < ":")
-
+    # Pieces start with a letter or a digit, so that comparing tells which.
+    return (piece >= "0") & (piece < ":") | piece.isin(NUMBERS)
 
-def _ends_sentence(piece: Column) -> Column:
-    return (piece < "0") | (piece >= ":") & (piece < "A")
 
+def _as_read(text: Column, way: int) -> Column:
+    """The pieces of a text, in order."""
+    return F.regexp_extract_all(text if way == BY_NAMES else F.lower(text), F.lit(PIECES[min(way, ANY_CASE)]), F.lit(0))
 
-def pieces(text: Column) -> Column:
-    """Words, numbers and sentence ends of a text."""
-    return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
 
+def _template(pieces: Column, way: int, number, unit, name, word) -> Column:
+    """What ``number``, ``unit``, ``name`` and ``word`` make of each piece."""
 
-def _template(words: Column) -> Column:
-    """The template of an array of pieces; null where a sentence ends."""
+    def one(piece: Column, i: Column) -> Column:
+        after = (i > 0) & _is_number(F.get(pieces, i - 1))
+        told = F.when(_is_number(piece), number(piece)).when(F.lower(piece).isin(UNITS) & after, unit(piece))
+        if way == BY_NAMES:
+            told = told.when(F.lower(piece) != piece, name(piece))
+        return told.otherwise(word(piece))
 
-    def one(word: Column, i: Column) -> Column:
-        before = F.get(words, i - 1)
-        name = (i > 0) & ~_ends_sentence(before) & (F.lower(word.substr(1, 1)) != word.substr(1, 1)) & (F.upper(word) != word)
-        unit = (i > 0) & _is_number(before) & F.lower(word).isin(UNITS)
-        return (
-            F.when((word >= "a") & (word < "{"), F.when(unit, F.lit(UNIT)).otherwise(F.lower(word)))
-            .when(_is_number(word), F.lit(NUMBER))
-            .when(_ends_sentence(word), F.lit(None))
-            .when(unit, F.lit(UNIT))
-            .when(name, F.lit(NAME))
-            .otherwise(F.lower(word))
-        )
+    return F.transform(pieces, one)
 
-    return F.transform(words, one)
 
+def slots(pieces: Column, way: int) -> Column:
+    """Template and value as written of each piece."""
 
-def slots(words: Column) -> Column:
-    """Template and value as written of the pieces that are no sentence ends."""
-    both = F.arrays_zip(_template(words).alias("template"), words.alias("value"))
-    return F.filter(both, lambda w: w["template"].isNotNull())
+    def slot(template: str | None):
+        return lambda piece: F.struct((F.lit(template) if template else F.lower(piece)).alias("template"), piece.alias("value"))
 
+    return _template(pieces, way, slot(NUMBER), slot(UNIT), slot(NAME), slot(None))
 
-def hashes(words: Column, exact: bool = False) -> Column:
-    """Hashes for each of some slots: of the template, of the word where that is a name, and of the value if wanted."""
 
-    def one(w: Column) -> Column:
-        plain = F.when(w["template"] == NAME, F.lower(w["value"])).otherwise(w["template"])
-        values = [F.xxhash64(F.lower(w["value"])).alias("value")] if exact else []
-        return F.struct(F.xxhash64(w["template"]).alias("template"), F.xxhash64(plain).alias("plain"), *values)
+def hashes(pieces: Column, way: int) -> Column:
+    """A hash of the template of each piece, or of the piece as written."""
+    if way == AS_WRITTEN:
+        return F.transform(pieces, lambda piece: F.xxhash64(piece))
+    number, unit, name = ((lambda piece, x=x: F.xxhash64(F.lit(x))) for x in (NUMBER, UNIT, NAME))
+    return _template(pieces, way, number, unit, name, lambda piece: F.xxhash64(piece))
 
-    return F.transform(words, one)
 
+def windows(words: Column, n: int, way: int) -> Column:
+    """A hash of each window of ``n`` hashes, in order: of windows half as long, and of these again."""
+    made, width = F.transform(words, lambda h: F.xxhash64(h, F.lit(way))) if n == 1 else words, 1
+    while width < n:
+        # Two shorter windows, which overlap where the length is no power of two, make the longer one.
+        step = min(width, n - width)
+        made = F.zip_with(made, F.slice(made, F.lit(step + 1), F.size(words)), lambda a, b: F.xxhash64(a, b, F.lit(way)))
+        width += step
+    return F.slice(made, F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(0)))
 
-def windows(words: Column, n: int, short: bool = False) -> Column:
-    """Places and hashes of each window of ``n`` words, in order; of short ones also those of their values."""
 
-    def told(*parts: Column) -> Column:
-        made = F.xxhash64(*parts)
-        return F.when(sum((~p.isin(*[F.xxhash64(F.lit(x)) for x in (NUMBER, NAME, UNIT)])).cast("int") for p in parts) >= 2, made) if short else made
+def telling_windows(words: Column, n: int, way: int) -> Column:
+    """The same of short windows; null where these have too few words that are no placeholders."""
+    placeholders = [F.xxhash64(F.lit(x)) for x in (NUMBER, NAME, UNIT)]
 
     def one(i: Column) -> Column:
-        template, plain = ([F.get(words, i + k)[x] for k in range(n)] for x in ("template", "plain"))
-        values = [F.xxhash64(F.lit("value"), *[F.get(words, i + k)["value"] for k in range(n)])] if short else []
-        ways = F.array_distinct(F.array_compact(F.array(told(*template), told(*plain), told(plain[0], *template[1:]), *values)))
-        return F.transform(ways, lambda h: F.struct(i.alias("pos"), h.alias("h")))
+        parts = [F.get(words, i + k) for k in range(n)]
+        made = F.xxhash64(*parts, F.lit(way))
+        return made if way == AS_WRITTEN else F.when(sum((~p.isin(*placeholders)).cast("int") for p in parts) >= TELLING, made)
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(words) - n), one))
+    starts = F.sequence(F.lit(0), F.size(words) - n)
+    return F.when(F.size(words) >= n, F.transform(starts, one)).otherwise(F.expr("cast(array() as array<bigint>)"))
 
 
-def _windowed(rows: DataFrame, n: int, *keep: str, short: Iterable[int] = (), whole: bool = False) -> DataFrame:
-    """One row per window and hash: ``pos, h``. Each step is a column, so that no array is made twice.
+def _windowed(rows: DataFrame, n: int, *keep: str, short: list[tuple[int, int]], whole: bool = False) -> DataFrame:
+    """One row per window of ``text``: ``segment, pos, h``.
 
-    ``short`` are lengths of further windows; with ``whole`` only texts of just that length have them.
+    The segments are the windows of ``n`` words by either way, then those of each ``(way, words)`` in ``short``; with ``whole``
+    only of texts of just that length. Each step is a column, so that no array is made twice.
     """
-    short = list(short)
-    cut = rows.select(*keep, pieces(F.col("text")).alias("pieces")).select(*keep, slots(F.col("pieces")).alias("slots"))
-    hashed = cut.select(*keep, hashes(F.col("slots"), bool(short)).alias("words"))
-    size, words = F.size("words"), F.col("words")
-    none = F.expr("cast(array() as array<struct<pos:int,h:bigint>>)")
-    ways = [F.when(size >= n, windows(words, n)).otherwise(none)]
-    ways += [F.when(size == k if whole else size >= k, windows(words, k, True)).otherwise(none) for k in short]
-    return hashed.select(*keep, F.inline(F.concat(*ways) if short else ways[0]))
+    ways = [BY_NAMES, ANY_CASE, *([AS_WRITTEN] if any(way == AS_WRITTEN for way, _ in short) else [])]
+    made = rows.select(*keep, *[_as_read(F.col("text"), way).alias(f"pieces{way}") for way in ways if way != AS_WRITTEN])
+    made = made.select(*keep, *[hashes(F.col(f"pieces{min(way, ANY_CASE)}"), way).alias(f"w{way}") for way in ways])
+    none = F.expr("cast(array() as array<bigint>)")
+    arrays = [windows(F.col(f"w{way}"), n, way) for way in (BY_NAMES, ANY_CASE)]
+    for way, k in short:
+        cut = telling_windows(F.col(f"w{way}"), k, way)
+        arrays.append(F.when(F.size(f"w{way}") == k, cut).otherwise(none) if whole else cut)
+    names = [f"a{i}" for i in range(len(arrays))]
+    made = made.select(*keep, *[a.alias(name) for a, name in zip(arrays, names)])
+    # Arrays are laid end to end and told apart by their lengths when a window has been found.
+    lengths = F.array(*[F.size(name) for name in names])
+    made = made.select(*keep, lengths.alias("lengths"), F.posexplode(F.concat(*names)).alias("place", "h"))
+    return made.filter("h is not null")
+
+
+def _placed(found: DataFrame, *keep: str) -> DataFrame:
+    """``keep, segment, pos, h``: the place in its segment of each window."""
+    ends = F.transform("lengths", lambda _, i: F.aggregate(F.slice("lengths", F.lit(1), i + 1), F.lit(0), lambda a, b: a + b))
+    segment = F.size(F.filter("ends", lambda e: e <= F.col("place")))
+    placed = found.select(*keep, "h", "place", "lengths", ends.alias("ends")).select(*keep, "h", "place", "lengths", "ends", segment.alias("segment"))
+    return placed.select(*keep, "segment", (F.col("place") - F.get("ends", F.col("segment")) + F.get("lengths", F.col("segment"))).alias("pos"), "h")
+
+
+def short_items(items: DataFrame, n: int) -> list[tuple[int, int]]:
+    """The ways and lengths of items that have fewer words than a window; at most ``3 * (n - 1)`` of them."""
+    read = items.select(F.size(_as_read(F.col("text"), BY_NAMES)).alias("named"), F.size(_as_read(F.col("text"), ANY_CASE)).alias("plain"))
+    lengths = F.array(*[F.struct(F.lit(way).alias("way"), F.col(c).alias("k")) for way, c in ((BY_NAMES, "named"), (ANY_CASE, "plain"), (AS_WRITTEN, "plain"))])
+    return sorted((r.way, r.k) for r in read.select(F.inline(lengths)).filter(F.col("k").between(1, n - 1)).distinct().collect())
+
 
+DOCUMENT, ITEM = ("doc_id", "key"), ("item_id", "item_key")
 
-def _slotted(rows: DataFrame, *keep: str) -> DataFrame:
-    """``words``: the slots of each text."""
-    return rows.select(*keep, pieces(F.col("text")).alias("pieces")).select(*keep, slots(F.col("pieces")).alias("words"))
+
+def _same(left: tuple, right: tuple):
+    return F.col(left[0]).eqNullSafe(F.col(right[0])) & (F.col(left[1]) == F.col(right[1]))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_share: float = LEAST_SHARE, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``doc_id, key, item_id, windows, matched, share, changed`` of each document that holds an item.
 
-    ``changed`` tells that slots have other values than in the benchmark.
+    ``changed`` tells that slots have other values than in the benchmark. Of the ways to read, the one with the larger share counts.
     """
     items = staged(benchmark.select(F.col(item_id).alias("item_id"), row_key(text).alias("item_key"), text_of(text).alias("text")).distinct(), "items")
-    # Items of fewer words than a window, and how many words these have.
-    sizes = _slotted(items, "item_id").select(F.size("words").alias("size")).filter(F.col("size").between(1, n - 1)).distinct().collect()
-    short = sorted(r.size for r in sizes)
-    item_windows = staged(_windowed(items, n, "item_id", "item_key", short=short, whole=True), "item-windows")
-    known = staged(item_windows.groupBy("h").agg(F.count(F.lit(1)).alias("items")), "window-hashes", item_windows.count())
+    short = short_items(items, n)
+    ways = F.array(*[F.lit(way) for way in (BY_NAMES, ANY_CASE, *[way for way, _ in short])])
+    made = _placed(_windowed(items, n, *ITEM, short=short, whole=True), *ITEM)
+    item_windows = staged(made.select(*ITEM, "segment", F.get(ways, F.col("segment")).alias("way"), F.col("pos").alias("item_pos"), F.col("h").alias("item_h")), "item-windows")
+    n_windows = item_windows.count()
+    known = staged(item_windows.groupBy("item_h").agg(F.count(F.lit(1)).alias("items")), "window-hashes", n_windows)
     rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(text).alias("key"), text_of(text).alias("text"))
-    found = staged(_windowed(rows, n, "doc_id", "key", short=short).join(small(known.select("h"), known.count()), "h").distinct(), "found-windows")
-    rows_found = found.count()
-    # The windows of one alignment of a document with an item.
+    # Nearly all windows go here, by a join that needs nothing but their hash.
+    met = _windowed(rows, n, *DOCUMENT, short=short).join(small(known.select("item_h"), known.count()), F.col("h") == F.col("item_h"))
+    found = staged(_placed(met, *DOCUMENT).distinct(), "found-windows")
+    n_found = found.count()
+    # The windows of one alignment of a document with an item, in one way of reading.
     aligned = (
-        found.join(small(item_windows.withColumnRenamed("pos", "item_pos"), item_windows.count()), "h")
-        .groupBy("doc_id", "key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"))
+        found.withColumnRenamed("segment", "d_segment").join(small(item_windows, n_windows), (F.col("h") == F.col("item_h")) & (F.col("d_segment") == F.col("segment")))
+        .groupBy(*DOCUMENT, *ITEM, "segment", "way", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .agg(F.collect_set("item_pos").alias("at"))
     )
-    sizes = item_windows.groupBy("item_id", "item_key").agg((F.max("pos") + 1).cast("long").alias("windows"))
-    slotted = _slotted(items, "item_id", "item_key").select(
-        "item_id", "item_key",
-        F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w["template"].alias("template"), w["value"].alias("value"))), lambda w: w["template"].isin(NUMBER, NAME, UNIT)).alias("slots"),
-    )
+    described = item_windows.groupBy(*ITEM, "segment", "way").agg((F.max("item_pos") + 1).cast("long").alias("windows"))
     described = staged(
-        sizes.join(slotted.withColumnRenamed("item_id", "i").withColumnRenamed("item_key", "ik"), F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik")))
-        .select("i", "ik", "windows", "slots"),
-        "described-items", item_windows.count(),
+        described.join(items.select(F.col("item_id").alias("t_id"), F.col("item_key").alias("t_key"), "text"), _same(ITEM, ("t_id", "t_key")))
+        .select(F.col("item_id").alias("i"), F.col("item_key").alias("ik"), F.col("segment").alias("s"), "windows", _read_slots(F.col("text"), F.col("way")).alias("words")),
+        "described-items", n_windows,
     )
-    same_item = F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik"))
     # A document can hold an item only if its alignments together reach the share.
-    alignments = staged(aligned.join(small(described, described.count(), BROADCAST_ROWS // 10), same_item).drop("i", "ik"), "alignments", rows_found)
-    document = ("doc_id", "key", "item_id", "item_key")
+    alignments = staged(
+        aligned.join(small(described, described.count(), BROADCAST_ROWS // 10), _same(ITEM, ("i", "ik")) & (F.col("segment") == F.col("s")))
+        .select(*DOCUMENT, *ITEM, "segment", "way", "shift", "at", "windows", F.transform(F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda s: s["word"]["template"].isin(NUMBER, NAME, UNIT)), lambda s: F.struct(s["at"].alias("at"), s["word"]["template"].alias("template"), s["word"]["value"].alias("value"))).alias("slots")),
+        "alignments", n_found,
+    )
+    pair = (*DOCUMENT, *ITEM, "segment")
     enough = F.size(F.array_distinct(F.flatten(F.collect_list("at")))) >= F.col("windows") * least_share
     candidates = staged(
-        alignments.groupBy(*document, "windows").agg(enough.alias("enough"), F.max(F.size("slots") > 0).alias("slotted"))
-        .filter("enough").select(*[F.col(c).alias(f"c_{c}") for c in document], "slotted"),
-        "candidates", rows_found,
+        alignments.groupBy(*pair, "windows").agg(enough.alias("enough")).filter("enough").select(*[F.col(c).alias(f"c_{c}") for c in pair]),
+        "candidates", n_found,
     )
     chosen = staged(
-        alignments.join(candidates, F.col("doc_id").eqNullSafe(F.col("c_doc_id")) & (F.col("key") == F.col("c_key")) & F.col("item_id").eqNullSafe(F.col("c_item_id")) & (F.col("item_key") == F.col("c_item_key")))
-        .select(*document, "shift", "at", "windows", "slots"),
-        "chosen", rows_found,
+        alignments.join(candidates, _same(DOCUMENT, ("c_doc_id", "c_key")) & _same(ITEM, ("c_item_id", "c_item_key")) & (F.col("segment") == F.col("c_segment"))).select(*pair, "way", "shift", "at", "windows", "slots"),
+        "chosen", n_found,
     )
-    plain = chosen.filter(F.size("slots") == 0).select(*document, "at", "windows", F.lit(False).alias("changed"))
-    checked = _consistent(rows, chosen.filter(F.size("slots") > 0), n).select(*document, "at", "windows", "changed")
-    held = plain.unionByName(checked).groupBy(*document, "windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max("changed").alias("changed")
-    )
-    return held.filter(F.col("matched") >= F.col("windows") * least_share).select(
-        "doc_id", "key", "item_id", "windows", F.col("matched").cast("long").alias("matched"), (F.col("matched") / F.col("windows")).alias("share"), "changed"
+    plain = chosen.filter((F.size("slots") == 0) | (F.col("way") == AS_WRITTEN)).select(*pair, "at", "windows", F.lit(False).alias("changed"))
+    checked = _consistent(rows, chosen.filter((F.size("slots") > 0) & (F.col("way") != AS_WRITTEN)), n).select(*pair, "at", "windows", "changed")
+    held = plain.unionByName(checked).groupBy(*pair, "windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max("changed").alias("changed"))
+    held = held.filter(F.col("matched") >= F.col("windows") * least_share)
+    best = F.struct((F.col("matched") / F.col("windows")).alias("share"), (~F.col("changed")).alias("same"), "windows", "matched")
+    # Of equal shares an unchanged copy goes before a changed one; a copy that any way shows to be unchanged is so.
+    return held.groupBy(*DOCUMENT, *ITEM).agg(F.max(best).alias("best"), F.min("changed").alias("changed")).select(
+        *DOCUMENT, "item_id", "best.windows", F.col("best.matched").cast("long").alias("matched"), "best.share", "changed"
     )
 
 
+def _read_slots(text: Column, way: Column) -> Column:
+    """The slots of a text in the way that a column names."""
+    return F.when(way == BY_NAMES, slots(_as_read(text, BY_NAMES), BY_NAMES)).otherwise(slots(_as_read(text, ANY_CASE), ANY_CASE))
+
+
 def _consistent(rows: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
-    """The alignments whose slots map item values to document values one to one."""
-    wanted = staged(chosen.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key")).distinct(), "slotted-documents")
+    """The alignments whose slots map item values to document values one to one.
+
+    Names of as many words on both sides are compared word by word, others as a whole.
+    """
+    wanted = staged(chosen.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"), F.col("way").alias("w_way")).distinct(), "slotted-documents", chosen.count())
     count = wanted.count()
-    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("key") == F.col("w_key"))
-    texts = staged(_slotted(rows.join(small(wanted, count), same), "w_id", "w_key").dropDuplicates(["w_id", "w_key"]), "slotted-texts")
+    same = _same(DOCUMENT, ("w_id", "w_key"))
+    texts = rows.join(small(wanted, count), same).select("w_id", "w_key", "w_way", _read_slots(F.col("text"), F.col("w_way")).alias("words"))
+    texts = staged(texts.dropDuplicates(["w_id", "w_key", "w_way"]), "slotted-texts", count)
     covered = F.filter("slots", lambda s: F.exists("at", lambda a: (a <= s["at"]) & (s["at"] < a + n)))
-    pairs = F.array_distinct(F.transform(covered, lambda s: F.struct(s["template"].alias("kind"), F.lower(s["value"]).alias("item"), F.lower(F.get("words", s["at"] + F.col("shift"))["value"]).alias("doc"))))
-    met = chosen.join(texts, same).withColumn("pairs", pairs)
+
+    def values(s: Column) -> Column:
+        item, doc = F.lower(s["value"]), F.lower(F.get("words", s["at"] + F.col("shift"))["value"])
+        split = F.split(item, " "), F.split(doc, " ")
+        each = F.transform(F.arrays_zip(split[0].alias("item"), split[1].alias("doc")), lambda p: F.struct(s["template"].alias("kind"), p["item"].alias("item"), p["doc"].alias("doc")))
+        return F.when((s["template"] == NAME) & (F.size(split[0]) == F.size(split[1])), each).otherwise(F.array(F.struct(s["template"].alias("kind"), item.alias("item"), doc.alias("doc"))))
+
+    met = chosen.join(texts, same & (F.col("way") == F.col("w_way"))).withColumn("covered", covered)
+    met = met.withColumn("pairs", F.array_distinct(F.flatten(F.transform("covered", values))))
 
     def different(field: str) -> Column:
         return F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p[field]))))

@@ -166,9 +166,9 @@ def test_short_items_are_found(spark, make):
 
 
 def test_template_steps_are_not_repeated_per_word(spark, make):
-    frame = decontaminate._windowed(make([(1, "a b c d e f")]).select("doc_id", "text"), 5, "doc_id")
+    frame = decontaminate._windowed(make([(1, "a b c d e f")]).select("doc_id", "text"), 5, "doc_id", short=[])
     text = plan(frame)
-    assert text.count("regexp_extract_all") == 1 and "Python" not in text
+    assert text.count("regexp_extract_all") == 2 and "Python" not in text
 
 
 def judged(spark, captures, entries):
@@ -282,3 +282,71 @@ def test_places_in_a_text_of_very_many_matches(make):
     text = " ".join(["1.1.1.1"] * 3000)
     row = pii.summary(pii.find(make([(1, text)]))).first()
     assert row.n_ip == 3000 and row.spans == ",".join(stated_spans(text))
+
+
+# Items asked again: names at the beginning of sentences, names of several words, number words, digit groups.
+SCHOOL = "Anna has 5 red apples in a basket. Bob has 3 green apples in a box. Clara buys 4 apples. How many apples do they have in all?"
+ASKED_AGAIN = [
+    (SCHOOL, "Mary has 7 red apples in a basket. John has 9 green apples in a box. Susan buys 2 apples. How many apples do they have in all?"),
+    ("Anna Smith sold 12 boxes of tea to a shop and then kept the other boxes for herself.", "Bob sold 40 boxes of tea to a shop and then kept the other boxes for herself."),
+    ("A farmer owns 12 goats and sells some of them on the market of a town.", "A farmer owns twenty goats and sells some of them on the market of a town."),
+    ("The mill made 1 200 sacks of flour and put them in rows along the wall.", "The mill made 35 sacks of flour and put them in rows along the wall."),
+]
+
+
+def test_items_asked_again_are_found(spark, make):
+    docs = make([(i, f"Some text. {again} And more.") for i, (_, again) in enumerate(ASKED_AGAIN)] + [(9, SCHOOL.replace("Clara", "Bob")), (10, SCHOOL.lower().replace("anna", "mary"))])
+    got = leaks(docs, spark, [(i, item) for i, (item, _) in enumerate(ASKED_AGAIN)])
+    assert {(i, i): True for i in range(len(ASKED_AGAIN))} == {pair: changed for pair, changed in got.items() if pair[0] < 9}
+    assert (9, 0) not in got  # two children became one
+
+
+def read_template(text, named):
+    """Pieces and template of a text, apart from the library's own expressions."""
+    pattern = r"[A-Z][A-Za-z]*(?: [A-Z][A-Za-z]*)*|[A-Za-z]+" if named else r"[A-Za-z]+"
+    pieces = re.findall(pattern + r"|[0-9]+(?:[.,][0-9]+)*(?: [0-9]+(?:[.,][0-9]+)*)*", text if named else text.lower())
+    out = []
+    for i, p in enumerate(pieces):
+        number = lambda x: x[0].isdigit() or x in decontaminate.NUMBERS
+        kind = "#" if number(p) else "%" if p.lower() in decontaminate.UNITS and i and number(pieces[i - 1]) else "@" if p != p.lower() else p
+        out.append((kind, p))
+    return out
+
+
+def holds(doc, item, named):
+    """Whether a text holds an item of at least five words, by trying every alignment."""
+    d, t = read_template(doc, named), read_template(item, named)
+    n, reached = len(t) - 4, set()
+    for shift in range(-len(t), len(d)):
+        at = [i for i in range(n) if 0 <= i + shift <= len(d) - 5 and all(d[i + shift + k][0] == t[i + k][0] for k in range(5))]
+        pairs = set()
+        for i, (kind, value) in enumerate(t):
+            if kind in "#%@" and any(a <= i < a + 5 for a in at):
+                x, y = value.lower().split(" "), d[i + shift][1].lower().split(" ")
+                pairs |= {(kind, *p) for p in zip(x, y)} if kind == "@" and len(x) == len(y) else {(kind, " ".join(x), " ".join(y))}
+        if len({p[:2] for p in pairs}) == len({p[::2] for p in pairs}) == len(pairs):
+            reached |= set(at)
+    return n > 0 and len(reached) >= 0.8 * n
+
+
+def test_templates_equal_brute_force(spark, make):
+    """Items with other names, numbers and units, some inconsistent, cut or in other case, against every alignment."""
+    import random
+
+    rng = random.Random(11)
+    names, words = ["Anna", "Bob", "Clara Lee", "Omar", "Eve Ann Poe"], "buys sells has red apples boxes of in a shop then gives kept near and the".split()
+
+    def sentence(length):
+        return " ".join(rng.choice([rng.choice(names), str(rng.randrange(30)), f"{rng.randrange(9)} kg", "twelve", *rng.choices(words, k=6)]) for _ in range(length))
+
+    items = [(i, ". ".join(sentence(rng.randrange(5, 9)) for _ in range(2))) for i in range(12)]
+    docs = []
+    for i in range(150):
+        text = rng.choice(items)[1]
+        for _ in range(rng.randrange(4)):
+            old = rng.choice(re.findall(r"[A-Z]\w+(?: [A-Z]\w+)*|\d+|\w+", text))
+            text = re.sub(rf"\b{old}\b", lambda m: rng.choice([rng.choice(names), str(rng.randrange(30)), old.lower(), rng.choice(words)]), text, count=rng.choice([0, 0, 1]))
+        docs.append((i, rng.choice(["", "so ", f"{sentence(6)}. "]) + rng.choice([text, text, text.upper(), text[: len(text) * 9 // 10]]) + rng.choice(["", f". {sentence(4)}"])))
+    want = {(d, i) for d, doc in docs for i, item in items if any(holds(doc, item, named) for named in (True, False) if len(read_template(item, named)) >= 5)}
+    assert all(len(read_template(item, named)) >= 5 for _, item in items for named in (True, False))
+    assert set(leaks(make(docs), spark, items)) == want and len(want) > 40
