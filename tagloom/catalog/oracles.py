@@ -384,6 +384,28 @@ def oracle_sql() -> dict[str, str]:
             "SELECT batch_datetime_stamp, count(*) AS rows, count(DISTINCT question_id) AS questions "
             f"FROM ({_BATCHES}) GROUP BY batch_datetime_stamp"
         ),
+        "history_after_republish": _predicted(
+            "SELECT state, question_id, CASE WHEN corrected THEN 'corrected' ELSE decoded END AS decoded, "
+            "TIMESTAMP '2023-10-22 02:00:00' AS batch_datetime_stamp, CASE question_id % 2 WHEN 0 THEN 'first' ELSE 'it''s' END AS load "
+            "FROM (SELECT *, state >= 'after 2' AND question_id % 2 = 0 AS corrected FROM predicted, "
+            "(VALUES ('after 0'), ('after 1'), ('after 2'), ('after 3'), ('after 4'), ('now')) AS states(state)) "
+            "WHERE CASE question_id % 2 WHEN 0 THEN NOT corrected OR Score > 0 ELSE state NOT IN ('after 0', 'after 3') END"
+        ),
+        "publications": _predicted(
+            "SELECT load, (SELECT count(*) FROM predicted WHERE question_id % 2 = part AND Score > least) AS rows, "
+            "TIMESTAMP '2023-10-24 03:00:00' + minute * INTERVAL 1 MINUTE AS published_at, "
+            "TIMESTAMP '2023-10-24 03:00:00' + until * INTERVAL 1 MINUTE AS replaced_at "
+            "FROM (VALUES ('first', 0, 0, 2, NULL), ('it''s', 1, 1000, 3, 4), ('it''s', 1, -1000, 4, NULL)) AS listed(load, part, least, minute, until)"
+        ),
+        "published_evolution": _predicted(
+            "SELECT question_id, decoded, CAST(ViewCount AS BIGINT) AS ViewCount, CAST(NULL AS DOUBLE) AS certainty, "
+            "TIMESTAMP '2023-10-22 02:00:00' AS batch_datetime_stamp FROM predicted UNION ALL "
+            "SELECT question_id, decoded, ViewCount + 1099511627776, CAST(Score AS DOUBLE) / 2, TIMESTAMP '2023-10-23 02:00:00' FROM predicted WHERE Score > 3"
+        ),
+        "compacted_publication": _predicted(
+            "SELECT CAST(state AS INT) AS state, count(*) AS rows, CAST(sum(question_id) AS BIGINT) AS ids, count(decoded) AS decoded, state = 0 AS many_files "
+            "FROM predicted, (VALUES (0), (1)) AS states(state) GROUP BY state"
+        ),
         "users_dim": _with(
             "SELECT id, CreationDate, CAST(year(CreationDate) AS INT) AS Year, CAST(month(CreationDate) AS INT) AS Month, "
             "DisplayName, DownVotes, Location, Reputation, UpVotes, Views, AccountId, "

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.catalog import views
 from tagloom.config import TrainingSettings, Zones
@@ -26,8 +29,8 @@ from tagloom.operators.ranking import top_per_group, with_global_index
 from tagloom.operators.split import train_test_split, with_part
 from tagloom.operators.users import build_users_dim
 from tagloom.plans.ingest import LOSSES, ingest_dimension, ingest_posts, losses_path
-from tagloom.plans.tag import publish_labeled
-from tagloom.schemas import POSTS, USERS, USERS_DIM
+from tagloom.plans.tag import labeled_location, publish_labeled, published_as_of
+from tagloom.schemas import LABELED_QUESTIONS, POSTS, USERS, USERS_DIM
 from tagloom.session import scratch, shared_root
 from tagloom.sinks import (
     checkpoint_parquet,
@@ -36,6 +39,7 @@ from tagloom.sinks import (
     overwrite_table,
     write_quoted_csv,
 )
+from tagloom.sinks.versions import compact, evolve, prune, publications, publish_version
 from tagloom.sources import folder_listing, read_csv, read_landed_posts, read_parquet, read_posts, source_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -580,6 +584,72 @@ def _batch_history(spark: SparkSession, folder: str) -> DataFrame:
     return results.batch_history(_three_batches(spark, folder))
 
 
+def _moment(minute: int) -> datetime:
+    """Times of publication, a minute apart."""
+    return datetime(2023, 10, 24, 3, minute, tzinfo=timezone.utc)
+
+
+def _republished(spark: SparkSession, folder: str) -> Zones:
+    """Two loads of an hour; the first again, corrected and with fewer rows; the second again without rows, and whole."""
+    zones = _zones(spark, "republished")
+    predicted = _rule_predictions(_stored(spark, folder))
+    first, second = (predicted.filter(F.col("question_id") % 2 == part) for part in (0, 1))
+    corrected = first.filter(F.col("Score") > 0).withColumn("decoded", F.lit("corrected"))
+    for minute, (rows, load) in enumerate(((first, "first"), (second, "it's"), (corrected, "first"), (second.filter("false"), "it's"), (second, "it's"))):
+        publish_labeled(rows, zones, FIRST_BATCH, load, _moment(minute))
+    return zones
+
+
+@_query("history_after_republish")
+def _history_after_republish(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as it stood after each publication, and as a reader of the table finds it."""
+    zones = _republished(spark, folder)
+    states = [published_as_of(spark, zones, _moment(minute)).withColumn("state", F.lit(f"after {minute}")) for minute in range(5)]
+    states.append(spark.table(zones.labeled_questions).withColumn("state", F.lit("now")))
+    return reduce(DataFrame.unionByName, [state.select("state", "question_id", "decoded", results.BATCH, results.LOAD) for state in states])
+
+
+@_query("publications")
+def _publications(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of these publications after those replaced by the third minute are pruned."""
+    zones = _republished(spark, folder)
+    prune(spark, labeled_location(zones), _moment(3))
+    listed = publications(spark, labeled_location(zones))
+    return listed.select(F.get("partition", F.lit(1)).alias("load"), "rows", "published_at", "replaced_at")
+
+
+@_query("published_evolution")
+def _published_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch, a table that then gains a column and wider counts, and a batch that has them."""
+    zones = _zones(spark, "evolution")
+    location, by = labeled_location(zones), (results.BATCH, results.LOAD)
+    predicted = _rule_predictions(_stored(spark, folder))
+    publish_labeled(predicted, zones, FIRST_BATCH, "all", _moment(0))
+    wide = T.StructType(
+        [T.StructField(f.name, T.LongType() if f.name == "ViewCount" else f.dataType) for f in LABELED_QUESTIONS][:-2]
+        + [T.StructField("certainty", T.DoubleType()), *LABELED_QUESTIONS[-2:]]
+    )
+    evolve(spark, zones.labeled_questions, wide, location, by)
+    liked = predicted.filter(F.col("Score") > 3).withColumns({"ViewCount": F.col("ViewCount") + (1 << 40), "certainty": F.col("Score").cast("double") / 2})
+    rows = results.labeled_questions(liked, SECOND_BATCH, "all", wide)
+    publish_version(rows, zones.labeled_questions, wide, location, by, ("2023-10-23 02:00:00", "all"), _moment(1))
+    return spark.table(zones.labeled_questions).select("question_id", "decoded", "ViewCount", "certainty", results.BATCH)
+
+
+@_query("compacted_publication")
+def _compacted_publication(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and files of a load before and after its small files are joined; the rows are the same."""
+    zones = _zones(spark, "compaction")
+    location, by = labeled_location(zones), (results.BATCH, results.LOAD)
+    predicted = _rule_predictions(_stored(spark, folder)).repartition(12, "question_id")
+    publish_labeled(predicted, zones, FIRST_BATCH, "all", _moment(0))
+    compact(spark, zones.labeled_questions, LABELED_QUESTIONS, location, by, published_at=_moment(1))
+    states = [published_as_of(spark, zones, _moment(minute)).select("question_id", "Title", "decoded", F.lit(minute).alias("state"), F.input_file_name().alias("file")) for minute in (0, 1)]
+    return states[0].unionByName(states[1]).groupBy("state").agg(
+        F.count("*").alias("rows"), F.sum("question_id").alias("ids"), F.count("decoded").alias("decoded"), (F.countDistinct("file") > 1).alias("many_files")
+    )
+
+
 @_query("users_dim")
 def _users_dim(spark: SparkSession, folder: str) -> DataFrame:
     zones = _zones(spark, "users")

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagloom.functions.stamps import batch_stamp
 from tagloom.schemas import LABELED_QUESTIONS
@@ -38,10 +39,10 @@ def merge_predictions(predictions: DataFrame, questions: DataFrame) -> DataFrame
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def labeled_questions(tagged: DataFrame, batch: datetime | str | None = None, load: str = "") -> DataFrame:
+def labeled_questions(tagged: DataFrame, batch: datetime | str | None = None, load: str = "", schema: StructType = LABELED_QUESTIONS) -> DataFrame:
     """``tagged`` in the columns and types of the table, with its batch stamp and load."""
     stamped = tagged.withColumns({BATCH: batch_stamp(batch), LOAD: F.lit(load)})
-    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LABELED_QUESTIONS])
+    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def batch_history(labeled: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from tagloom.operators.conform import enforce_schema
 from tagloom.sinks.files import full_refresh
+from tagloom.sinks.versions import MANIFEST, attach, partition_spec, quoted
 from tagloom.sources.files import delete_folder, folder_exists
 
 
@@ -49,7 +50,7 @@ def create_external_table(
     partition_by: str | Sequence[str] | None = None,
     format: str = "parquet",
 ) -> None:
-    """Register ``table`` over ``location``; files already there become visible.
+    """Register ``table`` over ``location``; files already there become visible, or the publications that stand, where these are listed.
 
     A table of that name must have the same place, format and columns.
     """
@@ -59,8 +60,10 @@ def create_external_table(
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     by = ", ".join(f"`{name}`" for name in _names(partition_by))
     partitions = f" PARTITIONED BY ({by})" if by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {format}{partitions} LOCATION '{location}'")
-    if by and format != "delta" and folder_exists(spark, location):
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {format}{partitions} LOCATION {quoted(location)}")
+    if by and format != "delta" and folder_exists(spark, f"{location}/{MANIFEST}"):
+        attach(spark, table, location, _names(partition_by))
+    elif by and format != "delta" and folder_exists(spark, location):
         spark.catalog.recoverPartitions(table)
 
 
@@ -94,7 +97,7 @@ def publish_batch(
         .save(location)
     )
     if format != "delta":
-        partition = ", ".join(f"`{name}` = '{value}'" for name, value in values.items())
+        partition = partition_spec(list(values), list(values.values()))
         if written.get["rows"]:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({partition})")
         else:

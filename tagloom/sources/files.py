@@ -104,6 +104,12 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     return system.getContentSummary(path).getLength()
 
 
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder. One metadata call."""
+    system, path = _file_system(spark, folder)
+    return [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder and what is in it, if it is there."""
     system, path = _file_system(spark, folder)
