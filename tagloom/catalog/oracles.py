@@ -191,6 +191,18 @@ def _engagement() -> str:
         GROUP BY topic"""
 
 
+def _summary(select: str, *steps: str) -> str:
+    """Over the three batches whose summaries are kept, the second as published again."""
+    tagged = """
+        SELECT *, CAST(CreationDate AS DATE) AS day, decoded AS topic FROM (
+            SELECT * FROM predicted
+            UNION ALL BY NAME SELECT * REPLACE ('edited' AS decoded) FROM predicted WHERE LastEditDate IS NOT NULL AND question_id % 3 = 0
+            UNION ALL BY NAME SELECT * REPLACE ('liked' AS decoded) FROM predicted WHERE Score > 3
+        ) WHERE decoded IS NOT NULL"""
+    named = {name: _STEPS[name] for name in steps}
+    return _with(select, *_PREPARED, **_PREPARED_RULE, tagged=tagged, **named)
+
+
 def oracle_sql() -> dict[str, str]:
     old = "CreationDate < DATE '2023-10-15'"
     evolved = f"""SELECT id, CreationDate, Score,
@@ -431,6 +443,32 @@ def oracle_sql() -> dict[str, str]:
             "daily",
         ),
         "engagement_by_topic": _with(_engagement(), *_TAGGED, "users"),
+        "summary_trend": _summary(
+            "SELECT d.day, d.topic, d.n, coalesce(p.n, 0) AS previous_n, "
+            "round(d.n / (SELECT sum(n) FROM daily w WHERE w.day = d.day), 6) AS share, d.n - coalesce(p.n, 0) AS change "
+            "FROM daily d LEFT JOIN daily p ON p.topic = d.topic AND p.day = d.day - 1",
+            "daily",
+        ),
+        "summary_engagement": _summary(_engagement(), "users"),
+        "summary_drilldown": _summary(
+            "SELECT Type, topic, day, count(*) AS n, CAST(grouping_id(Type, topic, day) AS BIGINT) AS level FROM tagged GROUP BY ROLLUP (Type, topic, day)"
+        ),
+        "distinct_by_range": _with(
+            "SELECT span, count(DISTINCT OwnerUserId) AS n_owners, count(DISTINCT Title) AS n_titles, true AS owners_near, true AS titles_near "
+            "FROM (SELECT *, unnest(['week ' || (day(CreationDate) - 1) // 7, 'month', "
+            "CASE WHEN day(CreationDate) > 14 THEN 'half' ELSE 'first half' END]) AS span FROM posts) GROUP BY span",
+            "posts",
+        ),
+        "auc_by_topic": _with(
+            "SELECT topic, CAST(sum(positives) AS BIGINT) AS positives, CAST(sum(negatives) AS BIGINT) AS negatives, "
+            "round(sum(positives * (below + negatives / 2)) / (sum(positives) * sum(negatives)), 6) AS auc "
+            "FROM (SELECT *, coalesce(sum(negatives) OVER (PARTITION BY topic ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ("
+            "SELECT t.topic, coalesce(n, 0) / cell_n AS score, sum(coalesce(n, 0)) AS positives, sum(cell_n - coalesce(n, 0)) AS negatives "
+            "FROM (SELECT tag_list[1] AS first_tag, day, count(*) AS cell_n FROM tagged GROUP BY ALL) c, (SELECT DISTINCT topic FROM tagged) t "
+            "LEFT JOIN (SELECT tag_list[1] AS first_tag, day, topic, count(*) AS n FROM tagged GROUP BY ALL) f "
+            "ON f.first_tag = c.first_tag AND f.day = c.day AND f.topic = t.topic GROUP BY 1, 2)) GROUP BY topic",
+            *_TAGGED,
+        ),
         "topic_drilldown": _with(
             "SELECT Type, topic, day, count(*) AS n, CAST(grouping_id(Type, topic, day) AS BIGINT) AS level "
             "FROM tagged GROUP BY ROLLUP (Type, topic, day)",

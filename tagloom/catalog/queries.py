@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tagloom.catalog import views
 from tagloom.config import TrainingSettings, Zones
 from tagloom.functions import clean_text, last_tag, parse_tags, strip_html, strip_urls
-from tagloom.operators import features, metrics, profile, results, topic_model, trends
+from tagloom.operators import features, metrics, profile, results, sketches, topic_model, trends
 from tagloom.operators.conform import conform, conversion_losses, merge_versions
 from tagloom.operators.joins import join_dimension
 from tagloom.operators.questions import (
@@ -29,6 +29,7 @@ from tagloom.operators.ranking import top_per_group, with_global_index
 from tagloom.operators.split import train_test_split, with_part
 from tagloom.operators.users import build_users_dim
 from tagloom.plans.ingest import LOSSES, ingest_dimension, ingest_posts, losses_path
+from tagloom.plans.report import summarize_load, summary_report
 from tagloom.plans.tag import labeled_location, publish_labeled, published_as_of
 from tagloom.schemas import LABELED_QUESTIONS, POSTS, USERS, USERS_DIM
 from tagloom.session import scratch, shared_root
@@ -504,6 +505,21 @@ def _eval_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(metrics.evaluate(_judged(spark, folder), label="topic"), "accuracy", "weighted_f1")
 
 
+@_query("auc_by_topic")
+def _auc_by_topic(spark: SparkSession, folder: str) -> DataFrame:
+    """How well the share of a topic among the questions of the same first tag and day tells that topic."""
+    keyed = _tagged(spark, folder).select(F.get("Tags", F.lit(0)).alias("first_tag"), "day", "topic")
+    found = checkpoint_parquet(keyed.groupBy("first_tag", "day", "topic").agg(F.count("*").alias("n")), scratch(spark, "topic-shares"))
+    cells = found.groupBy("first_tag", "day").agg(F.sum("n").alias("cell_n")).withColumnsRenamed({"first_tag": "c_tag", "day": "c_day"})
+    same = F.col("first_tag").eqNullSafe(F.col("c_tag")) & F.col("day").eqNullSafe(F.col("c_day"))
+    held = found.join(cells, same).select("topic", (F.col("n") / F.col("cell_n")).alias("score"), F.col("n").alias("positives"), (F.col("cell_n") - F.col("n")).alias("negatives"))
+    # Elsewhere a topic has share 0: all other questions are negatives there.
+    rest = cells.agg(F.sum("cell_n").alias("n")).scalar() - F.sum(F.col("positives") + F.col("negatives"))
+    absent = held.groupBy("topic").agg(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("positives"), rest.alias("negatives"))
+    counts = held.unionByName(absent).groupBy("topic", "score").agg(F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"))
+    return _rounded(metrics.area_under_curve(counts, "topic"), "auc")
+
+
 @_query("any_tag_accuracy")
 def _any_tag_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(metrics.any_tag_accuracy(_judged(spark, folder)), "any_tag_accuracy")
@@ -664,6 +680,54 @@ def _users_dim(spark: SparkSession, folder: str) -> DataFrame:
 # --- topic reports -----------------------------------------------------------------
 
 
+def _summarized(spark: SparkSession, folder: str) -> Zones:
+    """Three batches with their summaries; the second is then published again with other topics and fewer rows."""
+    zones = _zones(spark, "summaries")
+    predicted = _rule_predictions(_stored(spark, folder))
+    edited = predicted.filter(F.col("LastEditDate").isNotNull())
+    liked = predicted.filter(F.col("Score") > 3).withColumn("decoded", F.lit("liked"))
+    again = edited.filter(F.col("question_id") % 3 == 0).withColumn("decoded", F.lit("edited"))
+    for rows, stamp in ((predicted, FIRST_BATCH), (edited, SECOND_BATCH), (liked, THIRD_BATCH), (again, SECOND_BATCH)):
+        publish_labeled(rows, zones, stamp)
+        summarize_load(spark, zones, stamp)
+    users = build_users_dim(views.users(spark, folder), FIRST_BATCH)
+    create_external_table(spark, zones.users_dim, USERS_DIM, f"{zones.serving}/users_dim")
+    overwrite_table(users, zones.users_dim, USERS_DIM, f"{zones.serving}/users_dim")
+    return zones
+
+
+@_query("summary_trend")
+def _summary_trend(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(summary_report(spark, _summarized(spark, folder), "trend"), "share")
+
+
+@_query("summary_engagement")
+def _summary_engagement(spark: SparkSession, folder: str) -> DataFrame:
+    found = summary_report(spark, _summarized(spark, folder), "engagement")
+    return _rounded(found, *[name for name in found.columns if name.startswith("mean_")])
+
+
+@_query("summary_drilldown")
+def _summary_drilldown(spark: SparkSession, folder: str) -> DataFrame:
+    return summary_report(spark, _summarized(spark, folder), "drilldown")
+
+
+@_query("distinct_by_range")
+def _distinct_by_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct owners and titles of ranges of days, exactly and by sketches of single days that are stored and merged.
+
+    A range is a week, the month, or its second half; the sketches must keep within their stated error.
+    """
+    posts = views.posts(spark, folder).select("CreationDate", "OwnerUserId", "Title")
+    day = F.dayofmonth("CreationDate")
+    ranges = F.explode(F.array(F.concat(F.lit("week "), F.floor((day - 1) / 7).cast("string")), F.lit("month"), F.when(day > 14, F.lit("half")).otherwise(F.lit("first half"))))
+    daily = checkpoint_parquet(sketches.sketches(posts, ["CreationDate"], owners="OwnerUserId", titles="Title"), scratch(spark, "sketches"))
+    estimated = sketches.merged(daily.withColumn("span", ranges), ["span"], "owners", "titles")
+    exact = posts.withColumn("span", ranges).groupBy("span").agg(F.countDistinct("OwnerUserId").alias("n_owners"), F.countDistinct("Title").alias("n_titles"))
+    near = lambda name: (F.abs(F.col(name) - F.col(f"n_{name}")) <= F.ceil(F.col(f"n_{name}") * sketches.error_bound())).alias(f"{name}_near")
+    return exact.join(estimated, "span").select("span", "n_owners", "n_titles", near("owners"), near("titles"))
+
+
 @_query("topic_totals")
 def _topic_totals(spark: SparkSession, folder: str) -> DataFrame:
     return trends.topic_totals(_tagged(spark, folder))

@@ -15,7 +15,7 @@ if __name__ == "__main__":
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.config import TrainingSettings, Zones
-from tagloom.plans import ingest_dimension, ingest_posts, publish_users, report, tag_load, train
+from tagloom.plans import ingest_dimension, ingest_posts, publish_users, report, summarize_load, summary_report, tag_load, train
 from tagloom.schemas import POST_TYPES, USERS
 from tagloom.session import SETTINGS
 from tagloom.sources import JdbcTable, read_table
@@ -59,8 +59,13 @@ def _parser() -> argparse.ArgumentParser:
     users = jobs.add_parser("publish-users", help="replace the users table")
     users.add_argument("--batch")
 
+    summary = jobs.add_parser("summarize", help="count a published load for the reports")
+    summary.add_argument("--batch", required=True, help="stamp as yyyy_MM_dd_HH")
+    summary.add_argument("--load", default="all")
+
     reports = jobs.add_parser("report", help="show a report over the published table")
-    reports.add_argument("--name", choices=("top", "trend", "totals", "engagement"), default="top")
+    reports.add_argument("--name", choices=("top", "trend", "totals", "engagement", "drilldown", "distinct"), default="top")
+    reports.add_argument("--summaries", action="store_true", help="from the counts of the loads instead of their rows")
     reports.add_argument("--as-of", help="the table as it was at a time")
     reports.add_argument("--top", type=int, default=10)
     return parser
@@ -99,7 +104,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "tag":
         print(f"batch {tag_load(spark, zones, args.load, args.batch)}")
     elif args.job == "report":
-        report(spark, zones, args.name, args.as_of, args.top).show(100, truncate=False)
+        made = summary_report(spark, zones, args.name, args.top) if args.summaries else report(spark, zones, args.name, args.as_of, args.top)
+        made.show(100, truncate=False)
+    elif args.job == "summarize":
+        summarize_load(spark, zones, args.batch, args.load)
     else:
         publish_users(spark, zones, args.batch)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.operators.ranking import top_per_group
@@ -50,17 +50,40 @@ def top_topics_daily(daily: DataFrame, k: int = 10) -> DataFrame:
 ENGAGEMENT = ("AnswerCount", "CommentCount", "FavoriteCount", "Score", "ViewCount")
 
 
+#: The finest grain that the reports start from.
+GRAIN = ("day", "topic", "Type", "OwnerUserId")
+
+
+def _measures() -> list[Column]:
+    return [
+        F.count("*").alias("questions"),
+        *[F.sum(F.col(name).cast("double")).alias(f"sum_{name}") for name in ENGAGEMENT],
+        *[F.count(name).alias(f"n_{name}") for name in ENGAGEMENT],
+    ]
+
+
+def topic_counts(tagged: DataFrame) -> DataFrame:
+    """Questions, sums and numbers of each engagement column at the finest grain. Such counts of several batches add up."""
+    return tagged.groupBy(*GRAIN).agg(*_measures())
+
+
+def merged_counts(counts: DataFrame, *groups: str) -> DataFrame:
+    """The same at a coarser grain, from counts of any number of batches."""
+    names = ["questions", *[f"{part}_{name}" for part in ("sum", "n") for name in ENGAGEMENT]]
+    return counts.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in names])
+
+
 def engagement_by_topic(tagged: DataFrame, users: DataFrame) -> DataFrame:
     """Per topic: questions, sum and mean of each engagement column, and its owners.
 
     Questions are first grouped by topic and owner. An owner with very many questions,
     or questions without one, then bring one row per topic to the join with the users.
     """
-    partial = tagged.groupBy("topic", "OwnerUserId").agg(
-        F.count("*").alias("questions"),
-        *[F.sum(F.col(name).cast("double")).alias(f"sum_{name}") for name in ENGAGEMENT],
-        *[F.count(name).alias(f"n_{name}") for name in ENGAGEMENT],
-    )
+    return engagement_of_counts(tagged.groupBy("topic", "OwnerUserId").agg(*_measures()), users)
+
+
+def engagement_of_counts(partial: DataFrame, users: DataFrame) -> DataFrame:
+    """The same from counts per topic and owner."""
     owners = users.groupBy(F.col("id").alias("OwnerUserId")).agg(F.max("Reputation").alias("Reputation"))
     joined = partial.join(owners, "OwnerUserId", "left")
     return joined.groupBy("topic").agg(
@@ -78,7 +101,11 @@ def topic_drilldown(tagged: DataFrame) -> DataFrame:
 
     Rolling up multiplies rows by four, so it is applied to the grouped counts.
     """
-    finest = tagged.groupBy("Type", "topic", "day").agg(F.count("*").alias("n"))
+    return drilldown_of_counts(tagged.groupBy("Type", "topic", "day").agg(F.count("*").alias("n")))
+
+
+def drilldown_of_counts(finest: DataFrame) -> DataFrame:
+    """The same from ``Type, topic, day, n``."""
     return finest.rollup("Type", "topic", "day").agg(
         F.sum("n").alias("n"), F.grouping_id().cast("long").alias("level")
     )

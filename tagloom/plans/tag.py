@@ -17,6 +17,11 @@ from tagloom.sinks.versions import as_published, publish_version
 from tagloom.sources.files import read_csv, read_landed_posts
 
 
+def batch_values(stamp: str, load: str) -> tuple[str, str]:
+    """The partition of a load."""
+    return f"{datetime.strptime(stamp, '%Y_%m_%d_%H'):%Y-%m-%d %H:%M:%S}", load
+
+
 def labeled_location(zones: Zones) -> str:
     return f"{zones.serving}/labeled_questions"
 
@@ -34,7 +39,7 @@ def publish_labeled(tagged: DataFrame, zones: Zones, batch: datetime | str | Non
     create_database(spark, zones.database, f"{zones.serving}/database")
     create_external_table(spark, zones.labeled_questions, LABELED_QUESTIONS, location, (BATCH, LOAD), zones.table_format)
     rows = labeled_questions(tagged, stamp, load)
-    values = (f"{datetime.strptime(stamp, '%Y_%m_%d_%H'):%Y-%m-%d %H:%M:%S}", load)
+    values = batch_values(stamp, load)
     if zones.table_format == "parquet":
         publish_version(rows, zones.labeled_questions, LABELED_QUESTIONS, location, (BATCH, LOAD), values, published_at)
     else:

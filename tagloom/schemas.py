@@ -6,6 +6,9 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "int": T.IntegerType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "binary": T.BinaryType(),
     "float": T.FloatType(),
     "string": T.StringType(),
     "date": T.DateType(),
@@ -93,3 +96,27 @@ USERS_DIM = _table(
     AccountId="int",
     processing_datetime_stamp="timestamp",
 )
+
+#: Counts of a published load, from which the reports are made.
+TOPIC_COUNTS = _table(
+    day="date",
+    topic="string",
+    Type="string",
+    OwnerUserId="int",
+    questions="long",
+    sum_AnswerCount="double",
+    sum_CommentCount="double",
+    sum_FavoriteCount="double",
+    sum_Score="double",
+    sum_ViewCount="double",
+    n_AnswerCount="long",
+    n_CommentCount="long",
+    n_FavoriteCount="long",
+    n_Score="long",
+    n_ViewCount="long",
+    batch_datetime_stamp="timestamp",
+    load="string",
+)
+
+#: Sketches of the distinct values of a published load.
+TOPIC_SKETCHES = _table(day="date", topic="string", questions="binary", owners="binary", batch_datetime_stamp="timestamp", load="string")

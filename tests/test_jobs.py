@@ -21,6 +21,8 @@ def test_all_jobs_in_order(spark, small, tmp_path, capsys):
     run("train", "--max-iterations", "3")
     run("tag", "--load", "2023_10_22", "--batch", "2023_10_22_02")
     run("publish-users", "--batch", "2023_10_22_02")
+    run("summarize", "--batch", "2023_10_22_02", "--load", "2023_10_22")
+    run("report", "--name", "totals", "--summaries")
 
     printed = capsys.readouterr().out
     assert "weighted_f1" in printed and "batch 2023_10_22_02" in printed

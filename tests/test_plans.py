@@ -11,8 +11,9 @@ from tagloom.config import TrainingSettings, Zones
 from tagloom.operators import results, topic_model
 from tagloom.operators.questions import prepare_questions
 from tagloom.operators.conform import SchemaMismatch
-from tagloom.plans import ingest_dimension, ingest_posts, publish_users, report, tag_load, train
-from tagloom.plans.tag import tag_posts
+from tagloom.plans import ingest_dimension, ingest_posts, publish_users, report, summarize_load, summary_report, tag_load, train
+from tagloom.operators.sketches import error_bound
+from tagloom.plans.tag import publish_labeled, tag_posts
 from tagloom.plans.ingest import TooManyLosses
 from tagloom.schemas import POST_TYPES, USERS
 from tagloom.sources import read_csv, read_landed_posts
@@ -80,6 +81,31 @@ def test_reports_read_the_published_table(spark, lake, metrics):
     assert report(spark, lake, "top", k=2).agg(F.max("rank")).first()[0] <= 2
 
 
+def test_summaries_equal_a_full_recount(spark, lake, metrics):
+    for load in LOADS:
+        tag_load(spark, lake, load, f"{load}_02")
+        summarize_load(spark, lake, f"{load}_02", load)
+    publish_users(spark, lake, "2023_10_22_02")
+    first = spark.table(lake.labeled_questions).filter(F.col("load") == LOADS[0])
+    again = first.filter("Score > 0").withColumn("decoded", F.lit("other")).drop("batch_datetime_stamp", "load")
+    publish_labeled(again, lake, f"{LOADS[0]}_02", LOADS[0])
+    summarize_load(spark, lake, f"{LOADS[0]}_02", LOADS[0])
+    for name in ("totals", "trend", "top", "engagement"):
+        made, recounted = (sorted(map(tuple, f(spark, lake, name, k=50).collect()), key=str) for f in (summary_report, report))
+        assert made == recounted and made
+    whole = spark.table(lake.labeled_questions).filter("decoded IS NOT NULL")
+    assert summary_report(spark, lake, "drilldown").filter("level = 7").first()["n"] == whole.count()
+    exact = {r.decoded: (r.q, r.o) for r in whole.groupBy("decoded").agg(F.countDistinct("question_id").alias("q"), F.countDistinct("OwnerUserId").alias("o")).collect()}
+    for row in summary_report(spark, lake, "distinct").collect():
+        assert all(abs(a - b) <= 1 + error_bound() * b for a, b in zip((row.questions, row.owners), exact[row.topic]))
+    # Reports read the small tables alone, and a summary only the narrow columns of its load.
+    for name in ("totals", "trend", "drilldown"):
+        physical = plan(summary_report(spark, lake, name))
+        assert "labeled_questions" not in physical and "topic_counts" in physical
+    with pytest.raises(ValueError):
+        summary_report(spark, lake, "none")
+
+
 def test_tagging_is_one_stage(spark, lake, metrics):
     physical = plan(tag_posts(read_landed_posts(spark, lake.posts, LOADS[0]), lake))
     assert "Exchange hashpartitioning" not in physical and "SortMergeJoin" not in physical

@@ -3,12 +3,12 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, IDF, StringIndexer
 from pyspark.sql import functions as F
 
 from tagloom.functions import tokenize
-from tagloom.operators import features, metrics, results, trends
+from tagloom.operators import features, metrics, results, sketches, trends
 from tagloom.operators.questions import prepare_questions, text_and_tags, training_corpus, with_type
 from tagloom.operators.split import train_test_split, with_part
 from tagloom.operators.users import build_users_dim
@@ -231,3 +231,48 @@ def test_engagement_counts_unknown_owners(spark):
     assert (a.questions, a.total_AnswerCount, a.mean_AnswerCount, a.mean_FavoriteCount) == (3, 6.0, 2.0, 3.0)
     assert (a.owners, a.known_owners, a.mean_owner_reputation) == (1, 1, 50.0)
     assert (b.owners, b.known_owners, b.mean_owner_reputation) == (1, 0, None)
+
+
+# --- areas under curves --------------------------------------------------------------
+
+
+def test_areas_equal_the_library(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 3).cast("string").alias("topic"), (F.hash("id") % 50 / 7).alias("score"), (F.hash("id", F.lit(1)) % 5 + F.hash("id") % 50 / 10 > 1).alias("hit")
+    )
+    counts = metrics.score_counts(rows, "score", F.col("hit"), "topic")
+    for frame in (counts, counts.repartition(7), counts.coalesce(1)):
+        found = {r.topic: r for r in metrics.area_under_curve(frame, "topic").collect()}
+        assert set(found) == {"0", "1", "2"}
+        for topic, row in found.items():
+            own = rows.filter(F.col("topic") == topic).select("score", F.col("hit").cast("double").alias("label"))
+            library = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0).evaluate(own)
+            assert row.auc == pytest.approx(library, abs=1e-9) and row.positives + row.negatives == own.count()
+
+
+def test_areas_of_ties_nulls_and_one_sided_groups(spark):
+    rows = [("tie", 1.0, True), ("tie", 1.0, False), ("best", 2.0, True), ("best", None, False), ("worst", None, True), ("worst", 0.0, False),
+            ("only", 1.0, True), (None, 2.0, True), (None, 1.0, False), ("tie", 9.0, None)]
+    scored = spark.createDataFrame(rows, "topic string, score double, hit boolean")
+    found = {r.topic: r.auc for r in metrics.area_under_curve(metrics.score_counts(scored, "score", F.col("hit"), "topic"), "topic").collect()}
+    assert found == {"tie": 0.5, "best": 1.0, "worst": 0.0, "only": None, None: 1.0}
+
+
+def test_a_group_of_many_scores_is_dealt_over_tasks(spark):
+    counts = spark.range(50_000).select(F.lit("t").alias("topic"), F.col("id").alias("score"), (F.col("id") % 2).alias("positives"), (1 - F.col("id") % 2).alias("negatives"))
+    (row,) = metrics.area_under_curve(counts, "topic").collect()
+    assert row.auc == pytest.approx(0.5 + 1 / 50_000) and row.positives == 25_000
+
+
+# --- mergeable distinct counts ---------------------------------------------------------
+
+
+def test_merged_sketches_keep_their_error(spark, tmp_path):
+    rows = spark.range(60_000).select((F.col("id") % 30).alias("day"), (F.hash("id") % 20_000).alias("owner"), F.lit(None).cast("int").alias("none"))
+    sketches.sketches(rows, ["day"], owners="owner", none="none").write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    for first, last in ((0, 0), (3, 9), (0, 29)):
+        within = F.col("day").between(first, last)
+        exact = rows.filter(within).agg(F.countDistinct("owner")).first()[0]
+        found = sketches.merged(stored.filter(within).withColumn("all", F.lit(1)), ["all"], "owners", "none").first()
+        assert abs(found.owners - exact) <= exact * sketches.error_bound() and found.none == 0
