@@ -336,6 +336,12 @@ def oracle_sql() -> dict[str, str]:
             *_PREPARED,
             **_LEARNED,
         ),
+        "train_tag_blocks": _with(
+            "SELECT (SELECT count(*) FROM (SELECT unnest(tag_list) AS tag FROM parts WHERE NOT learned) WHERE tag <> '') AS scored, "
+            "count(DISTINCT tag) AS tags, (count(DISTINCT tag) + 9) // 10 AS blocks, true AS as_good FROM learned",
+            *_PREPARED,
+            **_LEARNED,
+        ),
         "decode_labels": _with(
             "SELECT question_id, CAST(prediction AS BIGINT) AS prediction, decoded FROM judged "
             "WHERE prediction IS NOT NULL",

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tagloom.catalog import views
 from tagloom.config import TrainingSettings, Zones
 from tagloom.functions import clean_text, last_tag, parse_tags, strip_html, strip_urls
-from tagloom.operators import features, metrics, profile, results, sketches, topic_model, trends
+from tagloom.operators import features, metrics, profile, results, sketches, tag_blocks, topic_model, trends
 from tagloom.operators.conform import conform, conversion_losses, merge_versions
 from tagloom.operators.joins import join_dimension
 from tagloom.operators.questions import (
@@ -473,6 +473,23 @@ def _eval_topic_model(spark: SparkSession, folder: str) -> DataFrame:
     return rows.agg(F.count("*").alias("scored")).withColumn("above_floor", F.lit(above))
 
 
+#: How much less of the held-out rows a model in blocks of hashed features may name right than one of a single matrix.
+BLOCK_MARGIN = 0.05
+
+
+@_query("train_tag_blocks")
+def _train_tag_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """A model in blocks of tags: how many, the rows scored, and whether it does as well as the model of one matrix."""
+    _, model, labels, held_out, _ = _fitted(spark, folder)
+    learn, _ = train_test_split(checkpoint_parquet(_prepared(spark, folder).select("question_id", "Text", "Tags"), scratch(spark, "questions")))
+    blocks = tag_blocks.fit_blocks(learn, scratch(spark, "tag-blocks"), TrainingSettings(vocabulary=1 << 14, max_iterations=30), block_tags=10)
+    scored = tag_blocks.predict_blocks(held_out, blocks).select("question_id", "Tags", "decoded")
+    accuracy, one_matrix = (metrics.evaluate(topic_model.per_tag(s)).first()["accuracy"] for s in (scored, topic_model.score(held_out, model, labels)))
+    rows = held_out.select(F.explode("Tags").alias("tag")).filter("tag <> ''")
+    sizes = [F.lit(n).cast("long").alias(name) for name, n in (("tags", blocks.tags), ("blocks", blocks.blocks))]
+    return rows.agg(F.count("*").alias("scored")).select("scored", *sizes, F.lit(bool(accuracy >= one_matrix - BLOCK_MARGIN)).alias("as_good"))
+
+
 @_query("decode_labels")
 def _decode_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted indexes back to names, by the stage that decodes those of a model."""
