@@ -211,6 +211,22 @@ def oracle_sql() -> dict[str, str]:
     return {
         "scan_posts": _with("SELECT * FROM posts", "posts"),
         "csv_roundtrip": _with("SELECT * FROM users", "users"),
+        "csv_rejects": """
+            SELECT CASE WHEN good THEN CAST(k AS INT) END AS id, CASE WHEN good THEN c_name END AS name, CASE WHEN good THEN 3 END AS kind,
+                   CASE WHEN NOT good THEN k || CASE WHEN k % 7 = 0 THEN 'x' ELSE '' END || ',"' || c_name || '"'
+                     || CASE WHEN k % 11 = 0 THEN '' WHEN k % 13 = 0 THEN ',1,2' ELSE ',3' END END AS line
+            FROM (SELECT c_custkey AS k, c_name, c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AS good FROM customer)
+        """,
+        "sample_by_topic": _with(
+            "SELECT topic, question_id, Title FROM tagged "
+            "QUALIFY row_number() OVER (PARTITION BY topic ORDER BY md5(CAST(question_id AS VARCHAR)), question_id) <= 5",
+            *_TAGGED,
+        ),
+        "streamed_questions": _with(
+            "SELECT question_id, tag_list[-1] AS decoded, TIMESTAMP '2023-10-22 02:00:00' AS batch_datetime_stamp, "
+            "'arrivals-00000' || question_id % 2 AS load FROM prepared",
+            *_PREPARED,
+        ),
         "full_refresh_dim": _with("SELECT * REPLACE (CAST(UpVotes + 1 AS INT) AS UpVotes) FROM users", "users"),
         "landing_posts": _with(
             "SELECT CreationDate, count(*) AS posts, count(Body) AS bodies, CAST(sum(ViewCount) AS BIGINT) AS views "

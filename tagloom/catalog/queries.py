@@ -25,10 +25,10 @@ from tagloom.operators.questions import (
     training_corpus,
     with_type,
 )
-from tagloom.operators.ranking import top_per_group, with_global_index
+from tagloom.operators.ranking import sample_per_group, top_per_group, with_global_index
 from tagloom.operators.split import train_test_split, with_part
 from tagloom.operators.users import build_users_dim
-from tagloom.plans.ingest import LOSSES, ingest_dimension, ingest_posts, losses_path
+from tagloom.plans.ingest import LOSSES, ingest_csv, ingest_dimension, ingest_posts, losses_path
 from tagloom.plans.report import summarize_load, summary_report
 from tagloom.plans.tag import labeled_location, publish_labeled, published_as_of
 from tagloom.schemas import LABELED_QUESTIONS, POSTS, USERS, USERS_DIM
@@ -42,6 +42,8 @@ from tagloom.sinks import (
 )
 from tagloom.sinks.versions import compact, evolve, prune, publications, publish_version
 from tagloom.sources import folder_listing, read_csv, read_landed_posts, read_parquet, read_posts, source_manifest
+from tagloom.sources.files import delete_folder
+from tagloom.streaming import publish_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,6 +153,20 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, USERS, multi_line=True)
 
 
+@_query("csv_rejects")
+def _csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as lines of text, some with a value that is no number, too few or too many values: what lands and what does not."""
+    key = F.col("c_custkey")
+    number = F.when(key % 7 == 0, F.concat(key.cast("string"), F.lit("x"))).otherwise(key.cast("string"))
+    line = F.concat(number, F.lit(',"'), F.col("c_name"), F.lit('"'), F.when(key % 11 == 0, F.lit("")).when(key % 13 == 0, F.lit(",1,2")).otherwise(F.lit(",3")))
+    root = scratch(spark, "rejects")
+    views.table(spark, folder, "customer").select(line.alias("value")).write.text(f"{root}/lines")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("kind", T.IntegerType())])
+    ingest_csv(spark, f"{root}/lines", schema, f"{root}/landed", f"{root}/quarantine", most_rejected=0.5, header="false")
+    kept = read_csv(spark, f"{root}/landed", schema).withColumn("line", F.lit(None).cast("string"))
+    return kept.unionByName(spark.read.schema("line string").parquet(f"{root}/quarantine"), allowMissingColumns=True)
+
+
 @_query("full_refresh_dim")
 def _full_refresh_dim(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads; the second reads the first from the folder that it replaces."""
@@ -694,9 +710,35 @@ def _users_dim(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(zones.users_dim)
 
 
+@_query("streamed_questions")
+def _streamed_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts that arrive in two increments, the second of which is run again; each question is published once."""
+    zones = _zones(spark, "streamed")
+    source, checkpoint = f"{zones.landing}/arriving", f"{zones.intermediate}/stream"
+
+    def tag(posts: DataFrame) -> DataFrame:
+        questions = prepare_questions(posts, views.post_types(posts.sparkSession))
+        return questions.withColumns({"decoded": last_tag("Tags"), "prediction": F.lit(0.0)})
+
+    posts = views.posts(spark, folder)
+    for part in (0, 1):
+        posts.filter(F.col("id") % 2 == part).write.parquet(f"{source}/{part}")
+        publish_arrivals(spark, zones, source, checkpoint, tag, batch=FIRST_BATCH)
+    # As after a failure between the publication and the note that it is done.
+    delete_folder(spark, f"{checkpoint}/commits/1")
+    publish_arrivals(spark, zones, source, checkpoint, tag, batch=SECOND_BATCH)
+    return spark.table(zones.labeled_questions).select("question_id", "decoded", results.BATCH, results.LOAD)
+
+
 # --- topic reports -----------------------------------------------------------------
 
 
+@_query("sample_by_topic")
+def _sample_by_topic(spark: SparkSession, folder: str) -> DataFrame:
+    """Five questions of each topic, whatever the partitions are."""
+    return sample_per_group(_tagged(spark, folder), "topic", ["question_id"], 5).select("topic", "question_id", "Title")
+
+
 def _summarized(spark: SparkSession, folder: str) -> Zones:
     """Three batches with their summaries; the second is then published again with other topics and fewer rows."""
     zones = _zones(spark, "summaries")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.config import TrainingSettings, Zones
 from tagloom.plans import ingest_dimension, ingest_posts, publish_users, report, summarize_load, summary_report, tag_load, train
+from tagloom.plans.ingest import MOST_LOST
 from tagloom.schemas import POST_TYPES, USERS
 from tagloom.session import SETTINGS
 from tagloom.sources import JdbcTable, read_table
@@ -33,7 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     posts = jobs.add_parser("ingest-posts", help="copy a source folder into one load")
     posts.add_argument("--source", required=True)
     posts.add_argument("--load", required=True)
-    posts.add_argument("--most-lost", type=float, default=1.0, help="share of a column's values that may not convert")
+    posts.add_argument("--most-lost", type=float, default=MOST_LOST, help="share of a column's values that may not convert")
     posts.add_argument("--one-schema", action="store_true", help="all files have the columns of the first")
 
     dimension = jobs.add_parser("ingest-dimension", help="replace a landed dimension")

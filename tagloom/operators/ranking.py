@@ -43,6 +43,16 @@ def with_global_index(df: DataFrame, order: Sequence[Column], name: str) -> Data
     )
 
 
+def sample_per_group(df: DataFrame, group: str, key: Sequence[str], k: int) -> DataFrame:
+    """``k`` rows of each group, those with the smallest digests of ``key``; all of a smaller group.
+
+    The same rows whatever the partitions are. Each task hands on at most ``k`` rows of a group, so nothing is sorted or
+    gathered whole. Rows of one key stand in the order of the key's columns; equal ones may stand for each other.
+    """
+    digest = F.md5(F.concat_ws("\x1f", *[F.col(name).cast("string") for name in key]))
+    return top_per_group(df, group, [digest, *[F.col(name) for name in key]], k, "__rank").drop("__rank")
+
+
 def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of each group; Spark cuts to ``k`` before the shuffle as well."""
     position = F.row_number().over(Window.partitionBy(group).orderBy(*order))

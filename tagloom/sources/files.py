@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tagloom.schemas import POSTS
 
@@ -41,8 +41,8 @@ def read_landed_posts(spark: SparkSession, folder: str, load: str) -> DataFrame:
     return read_posts(spark, f"{folder.rstrip('/')}/load={load}")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
-    """Comma-separated values with a header, from a file or a folder.
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, **options: str) -> DataFrame:
+    """Comma-separated values with a header, from a file or a folder; ``options`` go before these settings.
 
     ``multi_line`` keeps newlines within quotes together, at the cost that one file is
     one task; the sink writes files small enough for that.
@@ -54,11 +54,25 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
         .option("quote", '"')
         .option("escape", "\\")
         .option("multiLine", multi_line)
-        .options(**KEEP_VALUES)
+        .options(**KEEP_VALUES, **options)
         .csv(path)
     )
 
 
+#: The column that holds a line of CSV which does not fit the schema.
+REJECTED = "__rejected"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, **options: str) -> DataFrame:
+    """As ``read_csv``, with a column ``__rejected``: the line as it stands there where it does not fit the schema, else null.
+
+    A line does not fit if it has too few or too many values, or one that is not of its type. Store the frame before
+    counting it: Spark does not read that column alone from the files.
+    """
+    checked = StructType([*schema, StructField(REJECTED, StringType())])
+    return read_csv(spark, path, checked, multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, **options)
+
+
 def source_manifest(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """One row per file: folder, name, kind, size and time of change. File content is not read."""
     listed = (
