@@ -4,8 +4,12 @@ Learning: words of labelled documents are counted by label; their stems that tox
 hold far more often become the lexicon, weighted by log-odds. Each document is then reduced
 to what its hits say (see ``Scorer``), and a logistic regression learns the score.
 
-A hit is a word that starts with a stem, or nearly (see ``FuzzyLexicon``). A window of words
-around it tells abuse from quotation: quotation marks and words of reporting speak for a
+A hit is a word that starts with a stem, or nearly (see ``FuzzyLexicon``): with a letter more, less, other or swapped, or
+with a mark inside, as in ``st*pid``. An edit takes a fixed amount off the log-odds of the stem, so a misspelled term
+speaks for toxicity like the term itself, only less; a stem gets as many edits as leave it the odds of the lexicon. A spelling that
+the labelled clean documents use is a word of its own and no misspelling. Words shorter than a stem count as whole words.
+
+A window of words around a hit tells abuse from quotation: quotation marks and words of reporting speak for a
 quotation, words of address against it; hits in quotations count as a feature of their own.
 
 Null and empty texts get the score of a text without hits. Without labelled documents of both
@@ -34,6 +38,9 @@ from tagloom.llm.fuzzy_lexicon import FuzzyLexicon
 WORD = re.compile(r"[^\W_]+")
 #: The same words for Spark's expressions.
 WORD_SQL = r"[\p{L}\p{N}\p{M}]+"
+#: From the first letter of a token to its last, marks between them included.
+INNER = re.compile(r"[^\W_].*[^\W_]")
+LONGEST = 24
 QUOTES = re.compile(r"[\"“”„«»]")
 # Words of reporting and words of address.
 REPORTING = frozenset(
@@ -52,14 +59,16 @@ class Settings:
     longest: int = 12
     least_docs: int = 4
     least_share: float = 0.004
-    #: Log-odds from which a stem enters the lexicon, and the bound of the lexicon.
+    #: Log-odds from which a stem enters the lexicon, and what an edit takes off them.
     least_odds: float = 2.5
-    most_stems: int = 5_000
+    edit_odds: float = 2.4
+    #: Clean documents that use a spelling, from which on it is no misspelling.
+    known_docs: int = 2
     #: Words on either side of a hit that tell its context.
     window: int = 6
 
 
-FEATURES = 5
+FEATURES = 4
 
 
 @dataclass
@@ -68,6 +77,11 @@ class Scorer:
 
     stems: dict[str, float]
     window: int = 6
+    #: Short words, which only match as a whole, and spellings that are words of their own.
+    words: dict[str, float] = field(default_factory=dict)
+    known: frozenset[str] = frozenset()
+    least_odds: float = Settings.least_odds
+    edit_odds: float = Settings.edit_odds
     weights: list[float] = field(default_factory=list)
     intercept: float = 0.0
     constant: float | None = None
@@ -78,13 +92,25 @@ class Scorer:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_lexicon": None, "_units": None}
 
+    def match(self, word: str) -> tuple[float, int] | None:
+        """Log-odds that a word adds, and the edits to its stem."""
+        if word in self.words:
+            return self.words[word], 0
+        found = self._lexicon.match(word)
+        if found is None or found[1] and word in self.known:
+            return None
+        return found[0] - self.edit_odds * found[1], found[1]
+
     def _hit(self, token: str) -> tuple[float, int] | None:
-        """The best match among the words of a token between spaces."""
-        return max(filter(None, map(self._lexicon.match, WORD.findall(token))), key=lambda hit: (-hit[1], hit[0]), default=None)
+        """The best match among the words of a token between spaces, and the token itself where marks part its letters."""
+        words = WORD.findall(token)
+        if len(words) > 1 and (inner := INNER.search(token)) and len(inner[0]) <= LONGEST:
+            words.append(inner[0])
+        return max(filter(None, map(self.match, words)), default=None)
 
     def _hits(self) -> Units:
         if self._lexicon is None:
-            self._lexicon = FuzzyLexicon(self.stems)
+            self._lexicon = FuzzyLexicon(self.stems, edits={s: int((w - self.least_odds) / self.edit_odds) for s, w in self.stems.items()})
             self._units = Units(self._hit, REMEMBERED)
         return self._units
 
@@ -96,22 +122,20 @@ class Scorer:
         return 2 * inside + sum(w in REPORTING for w in around) > sum(w in ADDRESS for w in around)
 
     def features(self, text: str) -> list[float]:
-        """Weights of exact hits, of misspelled ones, of quoted ones, the heaviest, and hits per word; damped sums."""
+        """Log-odds of hits, of quoted ones, the heaviest hit, and hits per word; damped sums."""
         tokens = text.lower().split()
         found = list(map(self._hits().__getitem__, tokens))
         if not any(found):
             return [0.0] * FEATURES
-        exact = near = quoted = heaviest = 0.0
+        plain = quoted = heaviest = 0.0
         hits = [(i, *hit) for i, hit in enumerate(found) if hit]
-        for i, weight, edits in hits:
+        for i, weight, _ in hits:
             if self._quoted(tokens, i):
                 quoted += weight
-            elif edits:
-                near += weight
             else:
-                exact += weight
+                plain += weight
                 heaviest = max(heaviest, weight)
-        return [math.log1p(exact), math.log1p(near), math.log1p(quoted), heaviest, math.log1p(100 * len(hits) / len(tokens))]
+        return [math.log1p(plain), math.log1p(quoted), heaviest, math.log1p(100 * len(hits) / len(tokens))]
 
     def score(self, text: str) -> float:
         if self.constant is not None:
@@ -136,25 +160,41 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, doc_id
     return known.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
-def learn_stems(rows: DataFrame, settings: Settings) -> dict[str, float]:
-    """The lexicon: stems with the log-odds of toxic against other documents."""
+def learn_stems(rows: DataFrame, settings: Settings) -> tuple[dict[str, float], dict[str, float], DataFrame]:
+    """The lexicon: stems, and words shorter than these, with the log-odds of toxic against other documents.
+
+    And ``word, p, n``: the toxic and other documents of each word. The lexicon is as large as the bounded sample makes it.
+    """
     total = rows.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     toxic, other = (total[0] or 0), (total[1] or 0)
     words = rows.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD_SQL), F.lit(0)))).alias("word"))
-    counted = words.filter(F.length("word") >= settings.shortest).groupBy("word").agg(
-        F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")
-    )
+    counted = staged(words.groupBy("word").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")), "words")
     starts = F.sequence(F.lit(settings.shortest), F.least(F.length("word"), F.lit(settings.longest)))
     least = max(settings.least_docs, math.ceil(settings.least_share * toxic))
     odds = F.log((F.col("p") + 0.5) / (toxic + 1)) - F.log((F.col("n") + 0.5) / (other + 1))
+
+    def telling(found: DataFrame) -> DataFrame:
+        return found.filter(F.col("p") >= least).withColumn("odds", odds).filter(F.col("odds") >= settings.least_odds)
+
     stems = (
-        counted.select("p", "n", F.explode(F.transform(starts, lambda k: F.substr("word", F.lit(1), k))).alias("stem"))
+        counted.filter(F.length("word") >= settings.shortest).select("p", "n", F.explode(F.transform(starts, lambda k: F.substr("word", F.lit(1), k))).alias("stem"))
         .groupBy("stem").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-        .filter(F.col("p") >= least).withColumn("odds", odds).filter(F.col("odds") >= settings.least_odds)
-        .orderBy(F.desc("odds"), "stem").limit(settings.most_stems)
     )
-    found = {r["stem"]: (r["p"], r["odds"]) for r in stems.collect()}
-    return _closed(found)
+    found = {r["stem"]: (r["p"], r["odds"]) for r in telling(stems).collect()}
+    short = {r["word"]: r["odds"] for r in telling(counted.filter(F.length("word") < settings.shortest)).collect()}
+    return _closed(found), short, counted
+
+
+def known_spellings(counted: DataFrame, scorer: Scorer, settings: Settings) -> frozenset[str]:
+    """Words near a stem that clean documents use, and toxic ones not far more often."""
+
+    @F.pandas_udf("boolean")
+    def near(words: pd.Series) -> pd.Series:
+        scorer._hits()
+        return pd.Series([bool(hit and hit[1]) for hit in map(scorer.match, words)], dtype="bool")
+
+    used = counted.filter((F.col("n") >= settings.known_docs) & (F.col("p") < 4 * F.col("n")) & near("word"))
+    return frozenset(r["word"] for r in used.select("word").collect())
 
 
 def _closed(found: dict[str, tuple[int, float]]) -> dict[str, float]:
@@ -175,7 +215,10 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return Scorer({}, settings.window, constant=float(next(iter(counts), 0)))
-    scorer = Scorer(learn_stems(rows, settings), settings.window)
+    stems, words, counted = learn_stems(rows, settings)
+    scorer = Scorer(stems, settings.window, words, least_odds=settings.least_odds, edit_odds=settings.edit_odds)
+    scorer.known = known_spellings(counted, scorer, settings)
+    scorer._lexicon = None
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
