@@ -24,7 +24,7 @@ id and text. Other columns are not looked at. Everything runs in Spark's express
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.frames import BROADCAST_ROWS, row_key, small, staged, text_of
@@ -32,6 +32,8 @@ from tagloom.llm.frames import BROADCAST_ROWS, row_key, small, staged, text_of
 #: Words per window, and the share of an item's windows that a document must hold.
 WINDOW = 5
 LEAST_SHARE = 0.8
+#: Words at most that are looked up in every text before its windows are made.
+ANCHORS = 5_000
 #: Words that are no placeholders, which a window of fewer words needs.
 TELLING = 2
 
@@ -56,9 +58,13 @@ PIECES = {
 }
 
 
-def _is_number(piece: Column) -> Column:
+def _has_digits(piece: Column) -> Column:
     # Pieces start with a letter or a digit, so that comparing tells which.
-    return (piece >= "0") & (piece < ":") | piece.isin(NUMBERS)
+    return (piece >= "0") & (piece < ":")
+
+
+def _is_number(piece: Column) -> Column:
+    return _has_digits(piece) | piece.isin(NUMBERS)
 
 
 def _as_read(text: Column, way: int) -> Column:
@@ -70,11 +76,13 @@ def _template(pieces: Column, way: int, number, unit, name, word) -> Column:
     """What ``number``, ``unit``, ``name`` and ``word`` make of each piece."""
 
     def one(piece: Column, i: Column) -> Column:
+        # Nearly all pieces are plain words, so the list of all others is looked up first.
         after = (i > 0) & _is_number(F.get(pieces, i - 1))
-        told = F.when(_is_number(piece), number(piece)).when(F.lower(piece).isin(UNITS) & after, unit(piece))
+        listed = F.when(piece.isin(NUMBERS), number(piece)).when(after, unit(piece)).otherwise(word(piece))
+        told = F.when(_has_digits(piece), number(piece))
         if way == BY_NAMES:
             told = told.when(F.lower(piece) != piece, name(piece))
-        return told.otherwise(word(piece))
+        return told.when(piece.isin(NUMBERS + UNITS), listed).otherwise(word(piece))
 
     return F.transform(pieces, one)
 
@@ -96,15 +104,14 @@ def hashes(pieces: Column, way: int) -> Column:
     return _template(pieces, way, number, unit, name, lambda piece: F.xxhash64(piece))
 
 
-def windows(words: Column, n: int, way: int) -> Column:
-    """A hash of each window of ``n`` hashes, in order: of windows half as long, and of these again."""
-    made, width = F.transform(words, lambda h: F.xxhash64(h, F.lit(way))) if n == 1 else words, 1
-    while width < n:
-        # Two shorter windows, which overlap where the length is no power of two, make the longer one.
-        step = min(width, n - width)
-        made = F.zip_with(made, F.slice(made, F.lit(step + 1), F.size(words)), lambda a, b: F.xxhash64(a, b, F.lit(way)))
-        width += step
-    return F.slice(made, F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(0)))
+def windows(words: Column, n: int, way: int, anchors: list[int] | None = None) -> Column:
+    """A hash of each window of ``n`` hashes, in order; with ``anchors``, hashes of first words, null for windows that start otherwise."""
+
+    def one(word: Column, i: Column) -> Column:
+        made = F.xxhash64(word, *[F.get(words, i + k) for k in range(1, n)], F.lit(way))
+        return made if anchors is None else F.when(word.isin(anchors), made)
+
+    return F.slice(F.transform(words, one), F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(0)))
 
 
 def telling_windows(words: Column, n: int, way: int) -> Column:
@@ -120,17 +127,17 @@ def telling_windows(words: Column, n: int, way: int) -> Column:
     return F.when(F.size(words) >= n, F.transform(starts, one)).otherwise(F.expr("cast(array() as array<bigint>)"))
 
 
-def _windowed(rows: DataFrame, n: int, *keep: str, short: list[tuple[int, int]], whole: bool = False) -> DataFrame:
+def _windowed(rows: DataFrame, n: int, *keep: str, short: list[tuple[int, int]], whole: bool = False, anchors: list[int] | None = None) -> DataFrame:
     """One row per window of ``text``: ``segment, pos, h``.
 
     The segments are the windows of ``n`` words by either way, then those of each ``(way, words)`` in ``short``; with ``whole``
-    only of texts of just that length. Each step is a column, so that no array is made twice.
+    only of texts of just that length; with ``anchors`` only windows that start with one. Each step is a column, so that no array is made twice.
     """
     ways = [BY_NAMES, ANY_CASE, *([AS_WRITTEN] if any(way == AS_WRITTEN for way, _ in short) else [])]
     made = rows.select(*keep, *[_as_read(F.col("text"), way).alias(f"pieces{way}") for way in ways if way != AS_WRITTEN])
     made = made.select(*keep, *[hashes(F.col(f"pieces{min(way, ANY_CASE)}"), way).alias(f"w{way}") for way in ways])
     none = F.expr("cast(array() as array<bigint>)")
-    arrays = [windows(F.col(f"w{way}"), n, way) for way in (BY_NAMES, ANY_CASE)]
+    arrays = [windows(F.col(f"w{way}"), n, way, anchors) for way in (BY_NAMES, ANY_CASE)]
     for way, k in short:
         cut = telling_windows(F.col(f"w{way}"), k, way)
         arrays.append(F.when(F.size(f"w{way}") == k, cut).otherwise(none) if whole else cut)
@@ -150,6 +157,24 @@ def _placed(found: DataFrame, *keep: str) -> DataFrame:
     return placed.select(*keep, "segment", (F.col("place") - F.get("ends", F.col("segment")) + F.get("lengths", F.col("segment"))).alias("pos"), "h")
 
 
+def anchor_words(items: DataFrame, item_windows: DataFrame, n: int, least_share: float) -> list[int] | None:
+    """Hashes of words such that a document that holds an item holds one of the item's windows that starts with one of them.
+
+    An item may lack some of its windows in a document; of one window more than that, those whose first words are rarest in
+    the benchmark, the first words are taken. None if these are too many to be looked up.
+    """
+    placed = item_windows.filter(F.col("segment") < 2)
+    first = items.select(*[F.col(c).alias(f"f_{c}") for c in ITEM], F.posexplode(F.array(*[hashes(_as_read(F.col("text"), way), way) for way in (BY_NAMES, ANY_CASE)])).alias("f_way", "words"))
+    same = _same(ITEM, ("f_item_id", "f_item_key")) & (F.col("way") == F.col("f_way"))
+    words = staged(placed.join(first, same).select(*ITEM, "way", F.get("words", F.col("item_pos")).alias("word")), "first-words")
+    often = words.groupBy("word").agg(F.count(F.lit(1)).alias("often")).withColumnRenamed("word", "o_word")
+    group = Window.partitionBy(*ITEM, "way")
+    ranked = words.join(often, F.col("word") == F.col("o_word")).select("word", F.row_number().over(group.orderBy("often", "word")).alias("rank"), F.count(F.lit(1)).over(group).alias("windows"))
+    lacking = F.col("windows") - F.ceil(F.col("windows") * least_share)
+    found = ranked.filter(F.col("rank") <= lacking + 1).select("word").distinct().limit(ANCHORS + 1).collect()
+    return sorted(r.word for r in found) if len(found) <= ANCHORS else None
+
+
 def short_items(items: DataFrame, n: int) -> list[tuple[int, int]]:
     """The ways and lengths of items that have fewer words than a window; at most ``3 * (n - 1)`` of them."""
     read = items.select(F.size(_as_read(F.col("text"), BY_NAMES)).alias("named"), F.size(_as_read(F.col("text"), ANY_CASE)).alias("plain"))
@@ -177,7 +202,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_sha
     n_windows = item_windows.count()
     known = staged(item_windows.groupBy("item_h").agg(F.count(F.lit(1)).alias("items")), "window-hashes", n_windows)
     rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(text).alias("key"), text_of(text).alias("text"))
-    # Nearly all windows go here, by a join that needs nothing but their hash.
+    anchors = anchor_words(items, item_windows, n, least_share)
+    if anchors is not None:
+        # All texts are searched for the windows that start with an anchor; all windows are made of the few that have one.
+        hit = _windowed(rows, n, *DOCUMENT, short=short, anchors=anchors).join(small(known.select("item_h"), known.count()), F.col("h") == F.col("item_h"))
+        hit = staged(hit.select(F.col("doc_id").alias("h_id"), F.col("key").alias("h_key")).distinct(), "anchored-documents", n_windows)
+        n_hit = hit.count()
+        rows = rows.join(small(hit, n_hit), _same(DOCUMENT, ("h_id", "h_key"))).drop("h_id", "h_key")
     met = _windowed(rows, n, *DOCUMENT, short=short).join(small(known.select("item_h"), known.count()), F.col("h") == F.col("item_h"))
     found = staged(_placed(met, *DOCUMENT).distinct(), "found-windows")
     n_found = found.count()
