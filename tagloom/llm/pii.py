@@ -1,11 +1,12 @@
 """Personal data: base patterns, and identifiers that their contexts reveal.
 
-Base spans of four kinds come from patterns. Each occurrence has lexical patterns: the word
-before it and the word after it. A graph links these patterns to the instances (values)
-that stand in them, among which are also tokens of no kind that look like identifiers.
-Instances of a kind start with score 1 for it; a pattern's score is the share of its occurrences
-that its instances' scores explain, an unseen instance's that of its best pattern, and
-again for some rounds. Unseen tokens in patterns of high score become spans of the kind.
+Base spans of four kinds come from patterns. Each occurrence has lexical patterns: the word, and the
+two words, before it and after it. A graph links these patterns to the instances (values)
+that stand in them, among which are also unseen ones: tokens of no kind that look like identifiers, and
+runs of digit groups. Instances of a kind start with score 1 for it. A pattern's score for a kind is the share of the kind
+among its typed instances, times the share of its unseen instances that have the form of the kind: that there are
+many unseen ones speaks neither for nor against it, that they are of all sorts does. An unseen instance of that
+form has the score of its best pattern, counts as typed from then on, and so for some rounds. In patterns of high score it becomes a span.
 
 Offsets count code points, the end exclusive. Null texts count as empty and have no spans.
 Rows that repeat each get a row. Contexts are counted once for each row. Other columns are
@@ -31,18 +32,23 @@ KINDS = {
 #: What every match of a kind holds, so that other texts are passed over.
 HOLDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 BYTE = r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})?$"
-#: Tokens that look like identifiers: a digit or an at sign, and so many characters.
-TOKEN = r"(?<![A-Za-z0-9._%+@-])[A-Za-z._%+-]*+[0-9@][A-Za-z0-9._%+@-]*+"
+#: What looks like an identifier: groups of digits with single blanks, brackets or hyphens, or a token with a digit or an at sign;
+#: of six characters or more. Shorter ones are words of the context.
+TOKEN = (
+    r"(?<![A-Za-z0-9._%+@(-])(?:(?=[0-9()\x20/.-]{6})\(?[0-9][0-9()/.-]*+(?:\x20\(?[0-9][0-9()/.-]*+)++(?![A-Za-z@])"
+    r"|(?=[A-Za-z0-9._%+@(-]{6})\(?[A-Za-z._%+-]*+[0-9@][A-Za-z0-9._%+@-]*+)"
+)
 TOKEN_LENGTH = 6
+#: The form of a kind: whether there are letters, how many digits, and a mark that it holds.
+FORMS = {"email": (True, 0, 999, ""), "ip": (False, 4, 12, "."), "card": (False, 13, 19, ""), "phone": (False, 6, 15, "")}
 #: Matches whose lengths are summed together.
 BLOCK = 256
-#: Characters of the neighbourhood in which a context word is looked for.
-REACH = 40
 ROUNDS = 3
 LEAST_SCORE = 0.8
 LEAST_SUPPORT = 5
 
-SPAN = "array<struct<kind:string,start:int,end:int,value:string,left:string,right:string>>"
+SIDES = ("before", "before2", "after", "after2")
+SPAN = "array<struct<kind:string,start:int,end:int,value:string," + ",".join(f"{side}:string" for side in SIDES) + ">>"
 
 
 def _digits(value: Column) -> Column:
@@ -95,9 +101,10 @@ def _with_spans(rows: DataFrame, name: str, kind: str, pattern: str, worth: Colu
         gap = F.get(gaps, i)
         start = F.get(before, block(i)) + total(steps, block(i) * BLOCK + 1, i % BLOCK) + F.length(gap)
         value = F.rtrim(match, F.lit(".-")) if kind == "" else match
-        left = F.lower(F.regexp_extract(F.right(gap, F.lit(REACH)), r"(\S+)\s*$", 1))
-        right = F.lower(F.regexp_extract(F.left(F.get(gaps, i + 1), F.lit(REACH)), r"^\s*(\S+)", 1))
-        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), left.alias("left"), right.alias("right"))
+        following = F.get(gaps, i + 1)
+        words = (r"(?<!\S)(\S++)\s*+$", r"(?<!\S)(\S++\s++\S++)\s*+$", r"^\s*+(\S++)", r"^\s*+(\S++\s++\S++)")
+        contexts = [F.lower(F.regexp_extract(following if "after" in side else gap, word, 1)).alias(side) for side, word in zip(SIDES, words)]
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), *contexts)
 
     return (
         rows.withColumn(matches, F.when(worth, F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)")))
@@ -124,10 +131,19 @@ def find_base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 def _in_patterns(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per occurrence and context word: ``side`` and ``word``."""
-    sides = F.array(F.struct(F.lit("before").alias("side"), F.col("s.left").alias("word")), F.struct(F.lit("after").alias("side"), F.col("s.right").alias("word")))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.regexp_replace(F.col(f"s.{side}"), r"\s+", " ").alias("word")) for side in SIDES])
     return rows.select(*keep, "s", F.explode(sides).alias("p")).select(*keep, "s", "p.side", "p.word").filter("word <> ''")
 
 
+def _has_form(value: Column, kind: Column) -> Column:
+    """Whether a value has the form of a kind."""
+    letters, digits = value.rlike("[A-Za-z]"), F.length(_digits(value))
+    told = F.lit(False)
+    for name, (wanted, least, most, mark) in FORMS.items():
+        told = F.when(kind == name, (letters == F.lit(wanted)) & digits.between(least, most) & value.contains(mark)).otherwise(told)
+    return told
+
+
 def patterns(found: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_SCORE, least_support: int = LEAST_SUPPORT) -> DataFrame:
     """``side, word, kind, score`` of the patterns that reveal a kind, from the spans of ``find_base``."""
     occurrences = found.select(F.explode(F.concat(*KINDS, F.col("loose"))).alias("s"))
@@ -136,24 +152,29 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_
         "pattern-instances",
     )
     rows = edges.count()
-    totals = staged(edges.groupBy("side", "word").agg(F.sum("n").alias("total")), "pattern-totals", rows)
     seeds = edges.filter(F.col("is") != "").select("side", "word", F.col("is").alias("kind"), "value", "n", F.lit(1.0).alias("s"))
     loose = edges.filter(F.col("is") == "").select("side", "word", "value", "n")
-    found_in = seeds
+    alike = loose.select("*", F.explode(F.array(*map(F.lit, KINDS))).alias("kind")).filter(_has_form(F.col("value"), F.col("kind")))
+    alike = staged(alike, "unseen-of-a-form", 4 * rows)
+    unseen = loose.groupBy("side", "word").agg(F.sum("n").alias("unseen"))
+    fitting = alike.groupBy("side", "word", "kind").agg(F.sum("n").alias("fitting"))
+    agreed = staged(fitting.join(unseen, ["side", "word"]).select(*[F.col(c).alias(f"f_{c}") for c in ("side", "word", "kind")], (F.col("fitting") / F.col("unseen")).alias("agreed")), "form-shares", 4 * rows)
+    same = (F.col("side") == F.col("f_side")) & (F.col("word") == F.col("f_word")) & (F.col("kind") == F.col("f_kind"))
+    typed = seeds
     for i in range(rounds):
-        explained = found_in.groupBy("side", "word", "kind").agg(F.sum(F.col("n") * F.col("s")).alias("explained"), F.count(F.lit(1)).alias("support"))
-        scored = staged(
-            explained.filter(F.col("support") >= least_support).join(totals, ["side", "word"])
-            .select("side", "word", "kind", (F.col("explained") / F.col("total")).alias("score")),
-            f"patterns-{i}", rows,
-        )
+        explained = typed.groupBy("side", "word", "kind").agg(F.sum(F.col("n") * F.col("s")).alias("explained"), F.count(F.lit(1)).alias("support"))
+        explained = staged(explained, f"explained-{i}", rows)
+        totals = explained.groupBy(F.col("side").alias("t_side"), F.col("word").alias("t_word")).agg(F.sum("explained").alias("total"))
+        pure = explained.filter(F.col("support") >= least_support).join(totals, (F.col("side") == F.col("t_side")) & (F.col("word") == F.col("t_word")))
+        # Without an unseen instance of the form there is nothing to find.
+        scored = staged(pure.join(agreed, same).select("side", "word", "kind", (F.col("explained") / F.col("total") * F.col("agreed")).alias("score")), f"patterns-{i}", rows)
         if i + 1 < rounds:
             # Unseen instances take the score of their best pattern.
             instances = staged(
-                loose.join(scored, ["side", "word"]).groupBy("value", "kind").agg(F.max("score").alias("s")).filter(F.col("s") >= least_score),
+                alike.join(scored, ["side", "word", "kind"]).groupBy("value", "kind").agg(F.max("score").alias("s")).filter(F.col("s") >= least_score),
                 f"instances-{i}", rows,
             )
-            found_in = seeds.unionByName(loose.join(instances, "value").select("side", "word", "kind", "value", "n", "s"))
+            typed = seeds.unionByName(alike.join(instances, ["value", "kind"]).select("side", "word", "kind", "value", "n", "s"))
     return scored.filter(F.col("score") >= least_score)
 
 
@@ -162,7 +183,7 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_SCORE
     found = staged(find_base(docs, doc_id, text), "base-spans")
     revealing = staged(patterns(found, rounds, least_score, least_support), "patterns")
     loose = found.filter(F.size("loose") > 0).select("doc_id", "key", F.explode("loose").alias("s")).distinct()
-    hits = _in_patterns(loose, "doc_id", "key").join(small(revealing, revealing.count()), ["side", "word"])
+    hits = _in_patterns(loose, "doc_id", "key").join(small(revealing, revealing.count()), ["side", "word"]).filter(_has_form(F.col("s.value"), F.col("kind")))
     one = hits.groupBy("doc_id", "key", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.value").alias("value")).agg(
         F.max_by("kind", F.struct("score", "kind")).alias("kind")
     )

@@ -313,6 +313,78 @@ def test_contexts_reveal_unseen_identifiers(make):
     assert got[101].n_added == 0 and all(got[i].n_email == 1 for i in range(12))
 
 
+UNSEEN = ["030 1234567", "(555) 123-4567", "555-123-4567", "0171 22 33 444"]
+
+
+def test_unseen_forms_are_found_where_they_are_common(make):
+    """More unseen than typed instances in a context, with blanks and brackets; other contexts hold numbers of all sorts."""
+    rows = [(i, f"call tel: +49 30 {1000000 + i} now. see page {i} of v{i}.{i}.{i}x and 2024-01-{10 + i}") for i in range(8)]
+    rows += [(100 + i, f"my tel: {UNSEEN[i % 4][:-1]}{i % 9} is new, order 20{i}-33-1{i} of 123{i}4567 items") for i in range(16)]
+    got = {r.doc_id: r for r in pii.find(make(rows)).collect()}
+    texts = dict(rows)
+    found = [[(s.kind, texts[i][s.start : s.end]) for s in got[i].added] for i in range(100, 116)]
+    assert sum(f == [("phone", texts[100 + k].split("tel: ")[1].split(" is")[0])] for k, f in enumerate(found)) >= 15
+    assert all(not got[i].added and [s.kind for s in got[i].base] == ["phone"] for i in range(8))
+
+
+def scored_patterns(occurrences, least_support, rounds, least_score):
+    """Scores of patterns by plain loops, from ``(patterns, kind or '', value, unseen kinds)``."""
+    accepted = {}
+    for i in range(rounds):
+        typed, loose = {}, {}
+        for words, kind, value, kinds in occurrences:
+            for w in words:
+                for k, s in [(kind, 1.0)] if kind else [(k, accepted[value, k]) for k in kinds if (value, k) in accepted]:
+                    typed.setdefault(w, []).append((k, value, s))
+                if not kind:
+                    loose.setdefault(w, []).append(kinds)
+        scores = {}
+        for w, found in typed.items():
+            total = sum(s for _, _, s in found)
+            for k in {k for k, _, _ in found}:
+                if len({v for kk, v, _ in found if kk == k}) >= least_support and (fitting := sum(k in kinds for kinds in loose.get(w, []))):
+                    scores[w, k] = sum(s for kk, _, s in found if kk == k) / total * fitting / len(loose[w])
+        accepted = {}
+        for words, kind, value, kinds in occurrences:
+            for k in kinds if not kind else []:
+                best = max((scores.get((w, k), 0) for w in words), default=0)
+                if best >= least_score:
+                    accepted[value, k] = max(best, accepted.get((value, k), 0))
+    return {key: s for key, s in scores.items() if s >= least_score}
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_pattern_scores_equal_plain_loops(make, rounds):
+    import random
+
+    rng = random.Random(7)
+    make_value = {
+        "email": lambda: f"a{rng.randrange(40)}@b{rng.randrange(9)}.org", "ip": lambda: f"10.0.{rng.randrange(9)}.{rng.randrange(255)}",
+        "phone": lambda: f"+49 30 {rng.randrange(10**6, 10**7)}", "": lambda: rng.choice([f"030 {rng.randrange(10**4, 10**5)}", f"id-{rng.randrange(30)}x{rng.randrange(9)}z", f"{rng.randrange(10**6, 10**7)}", f"1.2.{rng.randrange(99)}.x"]),
+    }
+    favoured = {"tel:": ["phone", ""], "mail": ["email", ""], "at": ["ip", "", "email"], "the": list(make_value), "call tel:": ["phone", ""]}
+    rows = []
+    for i in range(300):
+        before = rng.choice(list(favoured))
+        rows.append((i, f"q {before} {make_value[rng.choice(favoured[before])]()} {rng.choice(['now', 'or later', 'then'])} q"))
+    found = pii.find_base(make(rows)).cache()
+    occurrences = []
+    for r in found.collect():
+        for s in [*r.email, *r.ip, *r.card, *r.phone, *r.loose]:
+            digits, letters = sum(c.isdigit() for c in s.value), any(c.isalpha() for c in s.value)
+            kinds = [k for k, (wanted, least, most, mark) in pii.FORMS.items() if letters == wanted and least <= digits <= most and mark in s.value]
+            occurrences.append(([(side, " ".join(s[side].split())) for side in pii.SIDES if s[side]], s.kind, s.value, kinds))
+    want = scored_patterns(occurrences, 3, rounds, 0.25)
+    got = {((r.side, r.word), r.kind): r.score for r in pii.patterns(found, rounds, 0.25, 3).collect()}
+    assert want and {k: pytest.approx(v) for k, v in want.items()} == got
+
+
+def test_contexts_are_whole_words(make):
+    long = "w" * 300
+    (row,) = pii.find_base(make([(1, f"a {long}{' ' * 90}10.0.0.1{' ' * 90}{long} b")])).collect()
+    assert (row.ip[0].before, row.ip[0].after, row.ip[0].after2) == (long, long, f"{long} b")
+
+
 def test_personal_data_of_odd_rows(odd, nothing):
     rows = pii.summary(pii.find(odd)).collect()
     assert len(rows) == odd.count() and all(r.spans == "" for r in rows if r.doc_id in (1, 2, 3))
