@@ -117,8 +117,7 @@ def _rule_predictions(questions: DataFrame, counts: DataFrame | None = None) ->
         "rule_tag", F.col("topic").alias("decoded"), F.col("label_index").cast("double").alias("prediction")
     )
     keyed = questions.withColumn("first_tag", F.get("Tags", F.lit(0)))
-    spread = ["question_id", "CreationDate", "Title"]
-    joined = join_dimension(keyed, indexed_rule, "first_tag", "rule_tag", spread, how="left")
+    joined = join_dimension(keyed, indexed_rule, "first_tag", "rule_tag", how="left")
     return joined.drop("first_tag", "rule_tag")
 
 
@@ -511,8 +510,7 @@ def _decode_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted indexes back to names, by the stage that decodes those of a model."""
     tagged = _tagged(spark, folder)
     counts = _topic_counts(tagged)
-    spread = ["question_id", "CreationDate", "Title"]
-    predicted = _rule_predictions(tagged, counts).select(*spread, "prediction").filter("prediction IS NOT NULL")
+    predicted = _rule_predictions(tagged, counts).select("question_id", "prediction").filter("prediction IS NOT NULL")
     labels = [r["topic"] for r in _topic_index(counts).orderBy("label_index").collect()]
     named = topic_model.decode_predictions(predicted, labels)
     return named.select("question_id", F.col("prediction").cast("long").alias("prediction"), "decoded")

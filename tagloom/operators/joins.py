@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
-SALTS = 64
-_SALT = "__salt"
 
 
 def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -21,28 +17,13 @@ def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROAD
     return measured["rows"] <= rows and (measured["bytes"] or 0) <= size
 
 
-def join_dimension(
-    facts: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    spread_by: Sequence[str],
-    how: str = "inner",
-    salts: int = SALTS,
-    broadcast: bool | None = None,
-) -> DataFrame:
+def join_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner", broadcast: bool | None = None) -> DataFrame:
     """Equi-join ``facts.fact_key = dim.dim_key``; ``how`` is ``inner`` or ``left``.
 
-    A dimension measured to be small is broadcast, so the facts are not shuffled. A
-    larger one is repeated once per salt and joined on key and salt: the rows of a hot
-    key then go to ``salts`` tasks. The salt is a hash of the ``spread_by`` columns, not
-    a random number, so a task that is run again sends each row to the same place.
+    A dimension measured to be small is broadcast, so the facts are not shuffled. With a larger one both sides have
+    exchanges of their own, and adaptive execution splits the facts of a hot key, or those without a key, over tasks: by
+    size, so that copies of one row are split as well, and without repeating the dimension.
     """
     if broadcast is None:
         broadcast = fits_broadcast(dim)
-    if broadcast:
-        return facts.join(F.broadcast(dim), facts[fact_key] == dim[dim_key], how)
-    salted_facts = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    salted_dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    matches = (salted_facts[fact_key] == salted_dim[dim_key]) & (salted_facts[_SALT] == salted_dim[_SALT])
-    return salted_facts.join(salted_dim, matches, how).drop(_SALT)
+    return facts.join(F.broadcast(dim) if broadcast else dim, facts[fact_key] == dim[dim_key], how)

@@ -13,8 +13,6 @@ from tagloom.operators.joins import join_dimension
 QUESTION = "Question"
 UNUSED = ("LastEditorDisplayName", "ParentId")
 
-_SPREAD = ("question_id", "CreationDate", "Title")
-
 
 def with_type(posts: DataFrame, post_types: DataFrame) -> DataFrame:
     """Posts with their ``Type``; posts without a known type drop out.
@@ -23,8 +21,7 @@ def with_type(posts: DataFrame, post_types: DataFrame) -> DataFrame:
     """
     posts = posts.withColumnRenamed("id", "question_id")
     types = post_types.withColumnRenamed("Id", "__type_id")
-    spread = [name for name in _SPREAD if name in posts.columns]
-    return join_dimension(posts, types, "PostTypeId", "__type_id", spread).drop("__type_id")
+    return join_dimension(posts, types, "PostTypeId", "__type_id").drop("__type_id")
 
 
 def question_posts(posts: DataFrame, post_types: DataFrame) -> DataFrame:

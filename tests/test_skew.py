@@ -58,13 +58,16 @@ def test_copies_of_one_question_in_the_latest_batch_are_split(shuffled_joins, qu
     assert "skewed" in plan(counted)
 
 
-def test_a_hot_type_is_salted_where_types_are_too_many_to_broadcast(shuffled_joins, spark, questions):
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("same", [False, True])
+def test_a_hot_type_is_split_where_types_are_too_many_to_broadcast(shuffled_joins, spark, questions, how, same):
+    """All posts have one of two types; they may agree in id and text."""
     types = spark.range(5).select(F.col("id").cast("int").alias("Id"), F.lit("t").alias("Type"))
-    posts = questions.withColumn("PostTypeId", F.lit(1))
-    joined = join_dimension(posts, types, "PostTypeId", "Id", ["question_id", "Title"], broadcast=False, salts=16)
-    per_task = joined.groupBy(F.spark_partition_id()).count().collect()
-    assert sum(row["count"] for row in per_task) == ROWS
-    assert max(row["count"] for row in per_task) < ROWS / 3
+    posts = questions.withColumns({"PostTypeId": F.when(F.col("Title") < "e", 1).otherwise(2), "Body": F.col("Title"), **({"Title": F.lit("t"), "question_id": F.lit(7)} if same else {})})
+    joined = join_dimension(posts, types, "PostTypeId", "Id", how, broadcast=False)
+    per_task = joined.groupBy(F.spark_partition_id()).agg(F.count("Type").alias("n"), F.max("Title"), F.max("Body")).collect()
+    assert sum(row.n for row in per_task) == ROWS
+    assert max(row.n for row in per_task) < ROWS / 3
 
 
 def test_one_owner_of_very_many_questions_is_grouped_before_the_join(spark, questions):
