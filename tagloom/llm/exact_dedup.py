@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.frames import keep_one, row_key, staged, text_of
 from tagloom.session import scratch
+from tagloom.sources.files import folder_exists
 
 #: Rows of a load per bucket when an index is made; a bucket row takes some 50 bytes.
 ROWS_PER_BUCKET = 4_000_000
@@ -42,6 +43,15 @@ class DigestIndex:
             f"CREATE TABLE {table} (digest BINARY, keep_id {id_type}, load STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
+        # The number of buckets stays beside the files, as another one would miss digests or fail.
+        kept = f"{path}/_buckets"
+        if folder_exists(spark, kept):
+            made = spark.read.schema("buckets int").parquet(kept).first().buckets
+            if made != buckets:
+                spark.sql(f"DROP TABLE {table}")
+                raise ValueError(f"the index at {path} has {made} buckets, not {buckets}")
+        else:
+            spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(kept)
         return cls(spark, path, buckets, table)
 
     def read(self) -> DataFrame:
@@ -98,10 +108,14 @@ def decide(rows: DataFrame, index: DigestIndex, load: str) -> DataFrame:
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None, load: str = "load", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256`` and keys."""
     rows = staged(digests(docs, doc_id, text), "digests")
-    if index is None:
-        spark = docs.sparkSession
-        index = DigestIndex.open(spark, scratch(spark, "digest-index"), buckets_for(rows.count()), dict(rows.dtypes)["doc_id"])
-    return decide(rows, index, load)
+    if index is not None:
+        return decide(rows, index, load)
+    spark = docs.sparkSession
+    own = DigestIndex.open(spark, scratch(spark, "digest-index"), buckets_for(rows.count()), dict(rows.dtypes)["doc_id"])
+    decided = decide(rows, own, load)
+    # What is decided has been stored; nothing reads the index again.
+    own.close()
+    return decided
 
 
 def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, load: str = "load", doc_id: str = "doc_id", text: str = "text") -> DataFrame:

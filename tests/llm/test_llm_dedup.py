@@ -82,6 +82,17 @@ def test_the_index_outlives_a_load_and_takes_only_what_is_new(spark, make):
     again.close()
 
 
+def test_an_index_keeps_its_buckets_and_no_table_is_left(spark, make):
+    place = scratch(spark, "test-index")
+    exact_dedup.DigestIndex.open(spark, place, 4).close()
+    with pytest.raises(ValueError, match="4 buckets, not 8"):
+        exact_dedup.DigestIndex.open(spark, place, 8)
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = exact_dedup.deduplicate(make([(1, "a b"), (2, "a b")]))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert {(r.doc_id, r.keep_id, r.kept) for r in rows.collect()} == {(1, 2, False), (2, 2, True)}
+
+
 def test_the_index_join_shuffles_no_index(spark, make):
     index = exact_dedup.DigestIndex.open(spark, scratch(spark, "test-index"), 4)
     new = exact_dedup.digests(make([(1, "a")])).repartition(4, "digest").hint("merge").join(index.read(), "digest", "left_anti")
