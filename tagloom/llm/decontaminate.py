@@ -164,7 +164,9 @@ def anchor_words(items: DataFrame, item_windows: DataFrame, n: int, least_share:
     the benchmark, the first words are taken. None if these are too many to be looked up.
     """
     placed = item_windows.filter(F.col("segment") < 2)
-    first = items.select(*[F.col(c).alias(f"f_{c}") for c in ITEM], F.posexplode(F.array(*[hashes(_as_read(F.col("text"), way), way) for way in (BY_NAMES, ANY_CASE)])).alias("f_way", "words"))
+    read = items.select(*[F.col(c).alias(f"f_{c}") for c in ITEM], *[_as_read(F.col("text"), way).alias(f"pieces{way}") for way in (BY_NAMES, ANY_CASE)])
+    made = read.select("f_item_id", "f_item_key", F.array(*[hashes(F.col(f"pieces{way}"), way) for way in (BY_NAMES, ANY_CASE)]).alias("made"))
+    first = made.select("f_item_id", "f_item_key", F.posexplode("made").alias("f_way", "words"))
     same = _same(ITEM, ("f_item_id", "f_item_key")) & (F.col("way") == F.col("f_way"))
     words = staged(placed.join(first, same).select(*ITEM, "way", F.get("words", F.col("item_pos")).alias("word")), "first-words")
     often = words.groupBy("word").agg(F.count(F.lit(1)).alias("often")).withColumnRenamed("word", "o_word")
@@ -219,11 +221,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_sha
         .agg(F.collect_set("item_pos").alias("at"))
     )
     described = item_windows.groupBy(*ITEM, "segment", "way").agg((F.max("item_pos") + 1).cast("long").alias("windows"))
-    described = staged(
-        described.join(items.select(F.col("item_id").alias("t_id"), F.col("item_key").alias("t_key"), "text"), _same(ITEM, ("t_id", "t_key")))
-        .select(F.col("item_id").alias("i"), F.col("item_key").alias("ik"), F.col("segment").alias("s"), "windows", _read_slots(F.col("text"), F.col("way")).alias("words")),
-        "described-items", n_windows,
+    described = described.join(items.select(F.col("item_id").alias("t_id"), F.col("item_key").alias("t_key"), "text"), _same(ITEM, ("t_id", "t_key"))).select(
+        F.col("item_id").alias("i"), F.col("item_key").alias("ik"), F.col("segment").alias("s"), "windows", F.col("way").alias("i_way"), "text"
     )
+    described = staged(_slotted(described, "i_way", "i", "ik", "s", "windows").drop("i_way"), "described-items", n_windows)
     # A document can hold an item only if its alignments together reach the share.
     alignments = staged(
         aligned.join(small(described, described.count(), BROADCAST_ROWS // 10), _same(ITEM, ("i", "ik")) & (F.col("segment") == F.col("s")))
@@ -251,9 +252,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, least_sha
     )
 
 
-def _read_slots(text: Column, way: Column) -> Column:
-    """The slots of a text in the way that a column names."""
-    return F.when(way == BY_NAMES, slots(_as_read(text, BY_NAMES), BY_NAMES)).otherwise(slots(_as_read(text, ANY_CASE), ANY_CASE))
+def _slotted(rows: DataFrame, way: str, *keep: str) -> DataFrame:
+    """``keep`` and ``words``, the slots of ``text`` in the way that a column names. The pieces are a column, so that a text is cut once."""
+    named = F.col(way) == BY_NAMES
+    cut = rows.select(*keep, way, F.when(named, _as_read(F.col("text"), BY_NAMES)).otherwise(_as_read(F.col("text"), ANY_CASE)).alias("pieces"))
+    return cut.select(*keep, way, F.when(named, slots(F.col("pieces"), BY_NAMES)).otherwise(slots(F.col("pieces"), ANY_CASE)).alias("words"))
 
 
 def _consistent(rows: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
@@ -264,7 +267,7 @@ def _consistent(rows: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
     wanted = staged(chosen.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"), F.col("way").alias("w_way")).distinct(), "slotted-documents", chosen.count())
     count = wanted.count()
     same = _same(DOCUMENT, ("w_id", "w_key"))
-    texts = rows.join(small(wanted, count), same).select("w_id", "w_key", "w_way", _read_slots(F.col("text"), F.col("w_way")).alias("words"))
+    texts = _slotted(rows.join(small(wanted, count), same), "w_way", "w_id", "w_key")
     texts = staged(texts.dropDuplicates(["w_id", "w_key", "w_way"]), "slotted-texts", count)
     covered = F.filter("slots", lambda s: F.exists("at", lambda a: (a <= s["at"]) & (s["at"] < a + n)))
 
