@@ -97,9 +97,11 @@ def test_first_tokens_share_what_they_must(least):
         shared = list(range(common))
         a, b = shared + [-i - 1 for i in range(large - common)], shared + [1000 + i for i in range(small - common)]
         rank = {t: rng.random() for t in {*a, *b}}
-        query = set(sorted(a, key=rank.get)[: jaccard.query_length(large, least)])
-        listed = set(sorted(b, key=rank.get)[: jaccard.matrix_length(small, least)])
-        assert len(query & listed) >= 1 + -(-least * large // 100) // jaccard.SHARED_EACH
+        asked = [rng.randrange(1, jaccard.most_shared(n) + 1) for n in (large, small)]
+        query = set(sorted(a, key=rank.get)[: jaccard.query_length(large, least, asked[0])])
+        listed = set(sorted(b, key=rank.get)[: jaccard.matrix_length(small, least, asked[1])])
+        assert len(query & listed) >= min(asked)
+        assert jaccard.most_shared(small) >= 1 + -(-least * large // 100) // jaccard.SHARED_EACH
 
 
 def test_jaccard_odd_inputs(odd, nothing):
