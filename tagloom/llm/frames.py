@@ -23,8 +23,16 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri)) if re.match(r"\w+:", uri) else (fs.LocalFileSystem(), uri)
 
 
+#: Rows that go to a Python worker at once, where the session has not set another number. Texts may be long,
+#: and a batch of the default size is held several times over by the task and by its worker.
+ARROW_ROWS = 1000
+ARROW_SETTING, ARROW_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of a session, once per application."""
+    """Make this package importable in the Python workers of a session, once per application, and keep their batches small."""
+    if spark.conf.get(ARROW_SETTING) == ARROW_DEFAULT:
+        spark.conf.set(ARROW_SETTING, ARROW_ROWS)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -40,6 +48,7 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(uri)
     _SHIPPED.add(sc.applicationId)
 
+
 #: A frame of at most so many narrow rows (two longs) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 500_000
 
