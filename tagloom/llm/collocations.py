@@ -5,9 +5,9 @@ A phrase of frequency ``least`` in a language has, in at least one shard of it,
 phrases of one more word made only from phrases that reach it; what any shard finds is joined; and these
 candidates are counted once more over everything, exactly.
 
-* While shards are few, a shard is a block of words that one task holds, and one pass mines it to the longest phrase.
-* A larger corpus is dealt to ``SHARDS`` shards of many tasks each, as more shards would lower the support below one. Each
-  length is then a pass: tasks count the phrases both of whose shorter parts are frequent in the shard, Spark sums
+* While ``SHARDS`` blocks of words, each held by one task, make up the corpus, a block is a shard, and one pass mines it to the longest phrase.
+* A larger corpus is dealt to as many shards of many tasks each, as more shards would lower the support towards one and mine more the larger the
+  corpus is. Each length is then a pass: tasks count the phrases both of whose shorter parts are frequent in the shard, Spark sums
   them by shard. A bitmap of at most 2^29 bits carries the frequent phrases of a shard to its tasks.
 
 A candidate is dropped before the last pass if its counts where it is frequent, and one less than the support
@@ -37,8 +37,10 @@ TOP = 2000
 #: A candidate goes if a longer one has at least so many hundredths of its frequency.
 CONTAINED = 100
 #: Shards at most, and the words that a task holds at once.
-SHARDS = 32
-BLOCK_WORDS = 8_000_000
+SHARDS = 16
+BLOCK_WORDS = 10_000_000
+#: Words that a task counts candidates in at once, where blocks need not be shards.
+COUNT_WORDS = 2_000_000
 #: Bits of a bitmap for each phrase in it, and the largest bitmap (64 MB).
 BITS_EACH, MOST_BITS = 64, 1 << 29
 
@@ -79,8 +81,12 @@ class Block:
     def languages(self) -> Iterator[tuple[str, int, "Text"]]:
         words = list(self.ids)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        for lang, (total, parts) in self.langs.items():
-            yield lang, total, Text(np.concatenate(parts), words, hashes)
+        while self.langs:
+            # What has been handed on is not kept.
+            lang, (total, parts) = self.langs.popitem()
+            ids = np.concatenate(parts)
+            del parts
+            yield lang, total, Text(ids, words, hashes)
 
 
 class Text:
@@ -124,20 +130,24 @@ def support(least: int, part: int, total: int) -> int:
     return max(1, -(-least * part // total))
 
 
-def _blocks(rows: DataFrame, each: Callable[[Block], Iterator[pa.RecordBatch]], schema: str, block_words: int) -> DataFrame:
-    """What ``each`` makes of every block of ``lang, total, text``."""
+def _blocks(rows: DataFrame, each: Callable[[Block], Iterator[pa.RecordBatch]], schema: str, block_words: int, side_by_side: int = 1) -> DataFrame:
+    """What ``each`` makes of every block of ``lang, total, text``; a task deals its rows to so many blocks at a time, in turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Block()
+        blocks, i = [Block() for _ in range(side_by_side)], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256).to_pydict()
                 for row in zip(piece["lang"], piece["total"], piece["text"]):
-                    block.add(*row)
-                    if block.size >= block_words:
-                        yield from each(block)
-                        block = Block()
-        yield from each(block)
+                    blocks[i % side_by_side].add(*row)
+                    i += 1
+                    if sum(block.size for block in blocks) >= block_words:
+                        for k in range(side_by_side):
+                            yield from each(blocks[k])
+                            blocks[k] = Block()
+        for k in range(side_by_side):
+            yield from each(blocks[k])
+            blocks[k] = Block()
 
     return rows.mapInArrow(run, schema)
 
@@ -151,8 +161,13 @@ def _batch(lang: str, shard: int, h: np.ndarray | pa.Array, n: np.ndarray, least
 MINED = "lang string, shard int, h long, n long, least long"
 
 
-def _mine_blocks(rows: DataFrame, least: int, longest: int, block_words: int) -> DataFrame:
-    """``lang, h, n, least`` of the phrases that are frequent in a block, and a row without ``h`` for each block."""
+def _mine_blocks(rows: DataFrame, least: int, longest: int, block_words: int, shards: int) -> DataFrame:
+    """``lang, h, n, least`` of the phrases that are frequent in a block, and a row without ``h`` for each block.
+
+    There are about ``shards`` blocks however many tasks there are, so that the support is lowered alike at every size.
+    """
+    rows = rows.coalesce(shards)
+    side_by_side = max(1, shards // max(1, rows.rdd.getNumPartitions()))
 
     def mine(block: Block) -> Iterator[pa.RecordBatch]:
         for lang, total, text in block.languages():
@@ -161,14 +176,15 @@ def _mine_blocks(rows: DataFrame, least: int, longest: int, block_words: int) ->
             lowered = support(least, text.n, total)
             yield _batch(lang, 0, pa.array([None], pa.int64()), np.array([0]), lowered)
             while len(text.at):
-                found, group, n = np.unique(text.h, return_inverse=True, return_counts=True)
-                frequent = n >= lowered
-                yield _batch(lang, 0, found[frequent].view(np.int64), n[frequent], lowered)
+                found, n = np.unique(text.h, return_counts=True)
+                found, n = found[n >= lowered], n[n >= lowered]
+                yield _batch(lang, 0, found.view(np.int64), n, lowered)
                 if text.length == longest:
                     break
-                text.lengthen(frequent[group])
+                # A place that the bitmap lets through by chance adds work, and at most a candidate.
+                text.lengthen(_in_bitmap(_bitmap_of(found), text.h))
 
-    return _blocks(rows, mine, MINED, block_words).drop("shard")
+    return _blocks(rows, mine, MINED, block_words, side_by_side).drop("shard")
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -176,9 +192,20 @@ def _arrow(schema: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])
 
 
+def _bits(count: int) -> int:
+    return 1 << min(MOST_BITS.bit_length() - 1, max(15, (BITS_EACH * count).bit_length()))
+
+
+def _bitmap_of(h: np.ndarray) -> np.ndarray:
+    """A bit for the low bits of each hash."""
+    flags = np.zeros(_bits(len(h)), bool)
+    flags[h & np.uint64(len(flags) - 1)] = True
+    return np.packbits(flags, bitorder="little")
+
+
 def bitmap(hashes: DataFrame, count: int) -> np.ndarray:
-    """A bit for the low bits of each ``h``. Spark builds it in pieces of 4 KB; its size is bounded."""
-    bits = 1 << min(MOST_BITS.bit_length() - 1, max(15, (BITS_EACH * count).bit_length()))
+    """The same of a column ``h``. Spark builds it in pieces of 4 KB; its size is bounded."""
+    bits = _bits(count)
     place = hashes.select(F.col("h").bitwiseAND(F.lit(bits - 1)).alias("place"))
     pieces = place.groupBy(F.expr("place div 32768").alias("piece")).agg(F.bitmap_construct_agg(F.col("place") % 32768).alias("bits"))
     out = np.zeros(bits // 8, np.uint8)
@@ -258,7 +285,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     n_langs, n_words = totals.agg(F.count(F.lit(1)), F.coalesce(F.sum("total"), F.lit(0))).first()
     rows = rows.join(small(totals, n_langs), "lang")
     if n_words <= shards * block_words:
-        mined = _mine_blocks(rows.coalesce(shards), least, longest, block_words)
+        mined = _mine_blocks(rows, least, longest, block_words, shards)
     else:
         mined = _mine_dealt(rows, least, longest, shards, block_words)
     chosen = staged(candidates(staged(mined, "mined"), least), "candidates")
@@ -278,7 +305,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
                     break
                 found.lengthen(np.ones(len(found.at), bool))
 
-    counted = _blocks(rows, count, COUNTED, block_words).groupBy("lang", "phrase", "length").agg(F.sum("n").alias("f"))
+    counted = _blocks(rows, count, COUNTED, min(block_words, COUNT_WORDS)).groupBy("lang", "phrase", "length").agg(F.sum("n").alias("f"))
     return staged(counted.filter(F.col("f") >= least), "frequent-phrases"), totals
 
 
