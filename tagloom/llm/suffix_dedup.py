@@ -252,7 +252,10 @@ def _spans(sorted_suffixes: DataFrame, reach: int, least: int) -> DataFrame:
 
 
 def find_repeats(docs: DataFrame, least: int = LEAST, seed: int = SEED, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, start, end, partner``: spans of words that stand in another document too, and the smallest id seen there."""
+    """``doc_id, start, end, partner``: spans of words that stand in another document too, and the id of one that holds some of it.
+
+    Of several such documents any may be named; of copies of a whole text it is the one with the smallest id, or the largest for that one.
+    """
     if least < seed:
         raise ValueError("a passage must be longer than a seed")
     slim = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
