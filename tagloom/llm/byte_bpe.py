@@ -155,6 +155,6 @@ class ByteBpe:
 
 
 @cache
-def byte_bpe(path: str) -> ByteBpe:
+def byte_bpe(path: str, remembered: int = REMEMBERED) -> ByteBpe:
     """The tokenizer of this process."""
-    return ByteBpe(path)
+    return ByteBpe(path, remembered)

@@ -33,6 +33,8 @@ MAGIC = b"TLSHARD1"
 HEADER = struct.Struct("<8sHHQQQ")
 #: Ids after which a task closes a file, and bytes that a reader holds of one.
 SHARD_IDS = 16 << 20
+#: Units that a writer remembers; it keeps little else, so more than other operators.
+REMEMBERED = 400_000
 READ_BYTES = 8 << 20
 
 MANIFEST = "part int, seq int, path string, docs long, ids long"
@@ -112,7 +114,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
     """Write the documents in the order of their ids; returns ``path, docs, ids, before`` of each file."""
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part = byte_bpe(vocabulary), TaskContext.get().partitionId()
+        bpe, part = byte_bpe(vocabulary, REMEMBERED), TaskContext.get().partitionId()
         store, path = open_store(folder)
         store.create_dir(path, recursive=True)
         end, done = np.array([end_id], bpe.dtype).tobytes(), []
