@@ -33,7 +33,9 @@ SMOOTH = 5
 SCALE = 1_000_000_000
 TOP = 50
 #: Different terms that a task counts before it hands its counts on.
-COUNTED = 400_000
+COUNTED = 1_000_000
+#: What a document adds to the number of a term; below it are the occurrences, of which a task sees fewer before it hands on.
+ONE_DOC = 1 << 36
 #: Terms of a block, at most, and numbers of its matrix.
 BLOCK_TERMS, BLOCK_NUMBERS = 2048, 1 << 20
 #: Rows that a task adds to its skybands at once.
@@ -53,16 +55,17 @@ def term_counts(rows: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs`` of ``lang, source, text``: occurrences and documents, several rows per term."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        groups: dict[tuple[str, str], dict[bytes, int]] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, docs) in groups.items():
-                kept = sorted(n)
-                for at in range(0, len(kept), 50_000):
-                    part = kept[at : at + 50_000]
+            for (lang, source), found in groups.items():
+                # A number holds the documents of a term above its occurrences.
+                names, both = list(found), np.fromiter(found.values(), np.int64, len(found))
+                for at in range(0, len(names), 50_000):
+                    part, n = names[at : at + 50_000], both[at : at + 50_000]
                     same = lambda value: pa.array([value] * len(part), pa.string())
                     yield pa.RecordBatch.from_arrays(
-                        [same(lang), same(source), pa.array(part, pa.binary()).cast(pa.string()), pa.array([n[t] for t in part], pa.int64()), pa.array([docs[t] for t in part], pa.int64())],
+                        [same(lang), same(source), pa.array(part, pa.binary()).cast(pa.string()), pa.array(n & (ONE_DOC - 1)), pa.array(n >> ONE_DOC.bit_length() - 1)],
                         names=["lang", "source", "term", "n", "docs"],
                     )
             groups.clear()
@@ -71,11 +74,11 @@ def term_counts(rows: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256).to_pydict()
                 for lang, source, text in zip(piece["lang"], piece["source"], piece["text"]):
-                    n, docs = groups.setdefault((lang, source), (Counter(), Counter()))
-                    found = terms(text)
-                    n.update(found)
-                    docs.update(set(found))
-                if sum(len(n) for n, _ in groups.values()) >= COUNTED:
+                    found = groups.setdefault((lang, source), {})
+                    have = found.get
+                    for term, n in Counter(terms(text)).items():
+                        found[term] = have(term, 0) + n + ONE_DOC
+                if sum(map(len, groups.values())) >= COUNTED:
                     yield from out()
         yield from out()
 
