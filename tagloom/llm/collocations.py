@@ -40,7 +40,7 @@ CONTAINED = 100
 SHARDS = 16
 BLOCK_WORDS = 10_000_000
 #: Words that a task counts candidates in at once, where blocks need not be shards.
-COUNT_WORDS = 2_000_000
+COUNT_WORDS = 5_000_000
 #: Bits of a bitmap for each phrase in it, and the largest bitmap (64 MB).
 BITS_EACH, MOST_BITS = 64, 1 << 29
 
