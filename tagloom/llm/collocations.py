@@ -286,8 +286,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     rows = rows.join(small(totals, n_langs), "lang")
     if n_words <= shards * block_words:
         mined = _mine_blocks(rows, least, longest, block_words, shards)
+        # A candidate comes once from each block that has it. So these blocks are not more than those that were mined.
+        dealt, count_words = rows.coalesce(shards), block_words
     else:
         mined = _mine_dealt(rows, least, longest, shards, block_words)
+        dealt, count_words = rows, min(block_words, COUNT_WORDS)
     chosen = staged(candidates(staged(mined, "mined"), least), "candidates")
     bits = spark.sparkContext.broadcast(bitmap(chosen, chosen.count()))
 
@@ -305,7 +308,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
                     break
                 found.lengthen(np.ones(len(found.at), bool))
 
-    counted = _blocks(rows, count, COUNTED, min(block_words, COUNT_WORDS)).groupBy("lang", "phrase", "length").agg(F.sum("n").alias("f"))
+    counted = _blocks(dealt, count, COUNTED, count_words).groupBy("lang", "phrase", "length").agg(F.sum("n").alias("f"))
     return staged(counted.filter(F.col("f") >= least), "frequent-phrases"), totals
 
 

@@ -255,6 +255,22 @@ def test_collocations_equal_plain_counting(spark, sizes):
     assert got == mined(rows, 20, 5, 40) and len(got) > 60
 
 
+def test_candidates_come_once_from_each_block_that_was_mined(spark, monkeypatch):
+    """Not once from each of many tasks of the input."""
+    rows, docs = some_phrases(spark)
+    blocks, made = collocations._blocks, {}
+
+    def counted(rows, each, schema, *sizes):
+        out = blocks(rows, each, schema, *sizes)
+        made[schema] = out.rdd.getNumPartitions(), out.count()
+        return out
+
+    monkeypatch.setattr(collocations, "_blocks", counted)
+    found, _ = collocations.frequent_phrases(docs.repartition(40), 20, 5, shards=4, stored=True)
+    tasks, emitted = made[collocations.COUNTED]
+    assert tasks == 4 and emitted <= 4 * 2 * found.count()
+
+
 def test_collocations_with_other_settings(spark):
     rows, docs = some_phrases(spark, 200)
     got = sorted(tuple(r) for r in collocations.collocations(docs, 3, 3, 10**6, contained=60).select(*COLUMNS).collect())
