@@ -74,8 +74,8 @@ def _questions(spark: SparkSession, folder: str) -> DataFrame:
     return question_posts(views.posts(spark, folder), views.post_types(spark))
 
 
-def _prepared(spark: SparkSession, folder: str, order: str = "train") -> DataFrame:
-    return prepare_questions(views.posts(spark, folder), views.post_types(spark), order)
+def _prepared(spark: SparkSession, folder: str, order: str = "train", dealt: bool = False) -> DataFrame:
+    return prepare_questions(views.posts(spark, folder), views.post_types(spark), order, dealt)
 
 
 def _tagged(spark: SparkSession, folder: str) -> DataFrame:
@@ -424,7 +424,7 @@ def _fitted(spark: SparkSession, folder: str):
 def _fit(spark: SparkSession, folder: str):
     zones = _zones(spark, "model")
     known = checkpoint_parquet(
-        _prepared(spark, folder).select("question_id", "Text", "Tags"), f"{zones.intermediate}/questions"
+        _prepared(spark, folder, dealt=True).select("question_id", "Text", "Tags"), f"{zones.intermediate}/questions"
     )
     learn, held_out = train_test_split(known)
     fitted = topic_model.fit_topic_model(learn)
