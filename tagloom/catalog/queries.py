@@ -496,7 +496,7 @@ BLOCK_MARGIN = 0.05
 def _train_tag_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """A model in blocks of tags: how many, the rows scored, and whether it does as well as the model of one matrix."""
     _, model, labels, held_out, _ = _fitted(spark, folder)
-    learn, _ = train_test_split(checkpoint_parquet(_prepared(spark, folder).select("question_id", "Text", "Tags"), scratch(spark, "questions")))
+    learn, _ = train_test_split(checkpoint_parquet(_prepared(spark, folder, dealt=True).select("question_id", "Text", "Tags"), scratch(spark, "questions")))
     blocks = tag_blocks.fit_blocks(learn, scratch(spark, "tag-blocks"), TrainingSettings(vocabulary=1 << 14, max_iterations=30), block_tags=10)
     scored = tag_blocks.predict_blocks(held_out, blocks).select("question_id", "Tags", "decoded")
     accuracy, one_matrix = (metrics.evaluate(topic_model.per_tag(s)).first()["accuracy"] for s in (scored, topic_model.score(held_out, model, labels)))
