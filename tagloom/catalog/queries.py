@@ -456,7 +456,7 @@ def _stored_label_index(spark: SparkSession, folder: str) -> DataFrame:
 
 def _inferred(spark: SparkSession, folder: str) -> DataFrame:
     _, model, labels, _, _ = _fitted(spark, folder)
-    return topic_model.predict_topics(ml_input(_prepared(spark, folder)), model, labels)
+    return topic_model.predict_topics(ml_input(_prepared(spark, folder, dealt=True)), model, labels)
 
 
 @_query("infer_topics")
